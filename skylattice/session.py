@@ -15,6 +15,10 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The marts are wide: fused into one generated method they pass the 8,000
+    # bytes of bytecode up to which HotSpot compiles, and would be interpreted.
+    # Above this limit Spark splits the work over smaller methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -15,7 +15,7 @@ from skylattice import functions as fn
 from skylattice import schemas
 from skylattice.operators import dims, loads, merge, quality, reports, storage
 from skylattice.plans import marts, staging
-from skylattice.session import scratch_dir
+from skylattice.session import materialize, scratch_dir
 from skylattice.sources import (
     check_schema, flatten_current, flatten_hourly, read_current, read_features, read_hourly,
     read_locations, read_table, route_rejects,
@@ -112,24 +112,27 @@ def _features(spark, sf):
     return read_features(spark, landing.land(features), line_delimited=True)
 
 
+# The five source tables and the stored tables that stand for them.
+STAR = {
+    "dim_location": "locations",
+    "dim_date": "dates",
+    "fact_current_weather": "fact_current",
+    "fact_hourly_forecast": "fact_forecast",
+    "fact_weather_history": "fact_history",
+}
+
+
 def _star(spark, sf) -> dict[str, DataFrame]:
     return {
-        "dim_location": t.locations(spark, sf),
-        "dim_date": t.dates(spark, sf),
-        "fact_current_weather": t.fact_current(spark, sf),
-        "fact_hourly_forecast": t.fact_forecast(spark, sf),
-        "fact_weather_history": t.fact_history(spark, sf),
+        table: read_table(spark, t.star_path(spark, sf, name), schemas.TABLES[table])
+        for table, name in STAR.items()
     }
 
 
 @query
 def src_star(spark, sf):
-    """Stores the five tables, scans them under contract and joins the current star."""
-    root = scratch_dir(spark)
-    star = {}
-    for name, df in _star(spark, sf).items():
-        df.write.parquet(f"{root}/{name}")
-        star[name] = read_table(spark, f"{root}/{name}", schemas.TABLES[name])
+    """Scans the five tables under contract and joins the current star."""
+    star = _star(spark, sf)
     return marts.weather_readings(
         star["fact_current_weather"], star["dim_location"], star["dim_date"]
     )
@@ -183,15 +186,6 @@ def get_or_create_date(spark, sf):
     return dims.get_or_create_date(t.dates(spark, sf), days)
 
 
-def _current_target(spark, sf):
-    unique = merge.dedupe_last_wins(
-        t.batch_current(spark, sf), ["location_id", "observation_time"], ["event_id"]
-    )
-    return unique.withColumn("weather_id", F.col("event_id")).withColumn(
-        "created_at", F.expr("observation_time + INTERVAL '5' MINUTE")
-    ).select(*schemas.FACT_CURRENT.names)
-
-
 def _current_batch(spark, sf):
     """The same readings again, odd ones a day later, with two metrics exchanged."""
     later = F.expr("observation_time + INTERVAL '1' DAY * (event_id % 2)")
@@ -206,17 +200,8 @@ def _current_batch(spark, sf):
 @query
 def upsert_current(spark, sf):
     return loads.upsert_current(
-        _current_target(spark, sf), _current_batch(spark, sf), _now(), ["event_id"]
-    )
-
-
-def _forecast_target(spark, sf):
-    unique = merge.dedupe_last_wins(
-        t.batch_forecast(spark, sf), ["location_id", "forecast_time"], t.LINE_ARRIVAL
+        t.target_current(spark, sf), _current_batch(spark, sf), _now(), ["event_id"], materialize
     )
-    return unique.withColumn("forecast_id", F.expr("l_orderkey * 8 + l_linenumber")).withColumn(
-        "created_at", F.expr("forecast_time - INTERVAL '1' DAY")
-    ).select(*schemas.FACT_FORECAST.names)
 
 
 def _forecast_batch(spark, sf):
@@ -232,7 +217,8 @@ def _forecast_batch(spark, sf):
 @query
 def upsert_forecast(spark, sf):
     return loads.upsert_forecast(
-        _forecast_target(spark, sf), _forecast_batch(spark, sf), _now(), t.LINE_ARRIVAL
+        t.target_forecast(spark, sf), _forecast_batch(spark, sf), _now(), t.LINE_ARRIVAL,
+        materialize,
     )
 
 
@@ -242,8 +228,8 @@ def replace_forecast(spark, sf):
         return df.withColumn("run_id", F.lit(number).cast("bigint"))
 
     return loads.replace_forecast(
-        run(_forecast_target(spark, sf), 1), run(_forecast_batch(spark, sf), 2), _now(),
-        t.LINE_ARRIVAL,
+        run(t.target_forecast(spark, sf), 1), run(_forecast_batch(spark, sf), 2), _now(),
+        t.LINE_ARRIVAL, materialize,
     )
 
 

@@ -7,10 +7,17 @@ engines; ``{NTZ}`` stands for the zone-less timestamp type.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skylattice.operators.dims import describe_dates
-from skylattice.schemas import CURRENT_METRICS, FORECAST_METRICS
+from skylattice.operators.merge import dedupe_last_wins
+from skylattice.schemas import CURRENT_METRICS, FORECAST_METRICS, UNIQUE_KEYS
+from skylattice.schemas import FACT_CURRENT as FACT_CURRENT_COLUMNS
+from skylattice.schemas import FACT_FORECAST as FACT_FORECAST_COLUMNS
+from skylattice.session import scratch_dir
 
 DUCKDB, SPARK = "TIMESTAMP", "TIMESTAMP_NTZ"
 
@@ -20,6 +27,11 @@ def _num(expr: str, width: int = 5) -> str:
     return f"CAST(CAST({expr} AS DECIMAL(12, 0)) * 0.01 AS DECIMAL({width}, 2))"
 
 
+def _int(expr: str, width: int = 5) -> str:
+    """Whole number to a decimal, which needs no decimal arithmetic."""
+    return f"CAST({expr} AS DECIMAL({width}, 2))"
+
+
 def _unless(condition: str, expr: str) -> str:
     return f"CASE WHEN {condition} THEN NULL ELSE {expr} END"
 
@@ -100,38 +112,38 @@ LINE_BASE = [
 
 HOURS = {
     "temperature_2m": _unless("n % 17 = 0", _num("n % 6500 - 2500")),
-    "relative_humidity_2m": _num("n % 10001"),
-    "dew_point_2m": _num("(n * 3) % 4000 - 2000"),
+    "relative_humidity_2m": _int("n % 101"),
+    "dew_point_2m": _int("(n * 3) % 40 - 20"),
     "apparent_temperature": _unless("n % 19 = 0", _num("(n * 7) % 12000 - 2500")),
     "temperature_80m": _num("(n * 11) % 6000 - 3000"),
     "temperature_120m": _num("(n * 13) % 6000 - 3000"),
     "temperature_180m": _unless("n % 37 = 0", _num("(n * 17) % 6000 - 3000")),
-    "precipitation_probability": _num("(n * 19) % 101 * 100"),
-    "precipitation": _some("n % 3 > 0", "n % 500"),
-    "rain": _some("n % 4 = 0", "n % 300"),
-    "showers": _some("n % 5 = 0", "n % 200"),
-    "snowfall": _some("n % 7 = 0", "n % 150"),
-    "snow_depth": _num("n % 90", 6),
+    "precipitation_probability": _int("(n * 19) % 101"),
+    "precipitation": _int("n % 500", 6),
+    "rain": _int("(n * 2) % 311", 6),
+    "showers": _int("(n * 3) % 211", 6),
+    "snowfall": _int("(n * 5) % 151", 6),
+    "snow_depth": _int("n % 90", 6),
     "weather_code": "CAST(n % 100 AS INT)",
-    "pressure_msl": _num("95000 + n % 10000", 7),
-    "surface_pressure": _num("93000 + (n * 3) % 10000", 7),
-    "cloud_cover": _num("(n * 23) % 10001"),
-    "cloud_cover_low": _num("(n * 29) % 10001"),
-    "cloud_cover_mid": _num("(n * 31) % 10001"),
-    "cloud_cover_high": _num("(n * 37) % 10001"),
-    "visibility": _unless("n % 23 = 0", _num("(n * 41) % 2500000", 8)),
-    "evapotranspiration": _num("(n * 43) % 100", 6),
-    "et0_fao_evapotranspiration": _num("(n * 47) % 100", 6),
-    "vapour_pressure_deficit": _num("(n * 53) % 300", 6),
+    "pressure_msl": _int("950 + n % 100", 7),
+    "surface_pressure": _int("930 + (n * 3) % 100", 7),
+    "cloud_cover": _int("(n * 23) % 101"),
+    "cloud_cover_low": _int("(n * 29) % 99"),
+    "cloud_cover_mid": _int("(n * 31) % 97"),
+    "cloud_cover_high": _int("(n * 37) % 95"),
+    "visibility": _unless("n % 23 = 0", _int("(n * 41) % 25000", 8)),
+    "evapotranspiration": _int("(n * 43) % 100", 6),
+    "et0_fao_evapotranspiration": _int("(n * 47) % 98", 6),
+    "vapour_pressure_deficit": _int("(n * 53) % 300", 6),
     "wind_speed_10m": _unless("n % 29 = 0", _num("(n * 59) % 4000", 6)),
     "wind_direction_10m": _unless("n % 31 = 0", _num("(n * 61) % 36001")),
-    "wind_gusts_10m": _num("(n * 67) % 6000", 6),
-    "wind_speed_80m": _num("(n * 71) % 5000", 6),
-    "wind_direction_80m": _num("(n * 73) % 36001"),
-    "wind_speed_120m": _num("(n * 79) % 5000", 6),
-    "wind_direction_120m": _num("(n * 83) % 36001"),
-    "wind_speed_180m": _num("(n * 89) % 5000", 6),
-    "wind_direction_180m": _num("(n * 97) % 36001"),
+    "wind_gusts_10m": _int("(n * 67) % 60", 6),
+    "wind_speed_80m": _int("(n * 71) % 50", 6),
+    "wind_direction_80m": _int("(n * 73) % 361"),
+    "wind_speed_120m": _int("(n * 79) % 52", 6),
+    "wind_direction_120m": _int("(n * 83) % 359"),
+    "wind_speed_180m": _int("(n * 89) % 54", 6),
+    "wind_direction_180m": _int("(n * 97) % 357"),
 }
 assert list(HOURS) == list(FORECAST_METRICS)
 
@@ -188,49 +200,124 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use idle cores on an input that has fewer splits than there are.
+
+    The sample files hold one row group each, which is one task. An input of
+    many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _derive(df: DataFrame, *layers: list[str]) -> DataFrame:
     for layer in layers:
         df = df.selectExpr(*_for(layer, SPARK))
     return df
 
 
-def fact_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "events"), EVENT_BASE, FACT_CURRENT)
+Build = Callable[[SparkSession, str], DataFrame]
+STAR: dict[str, Build] = {}
+_paths: dict[tuple[str, str, str], str] = {}
+
+
+def star_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where a derived table is stored; written whole on first use by an application.
+
+    The operators work on stored tables, whose scans prune columns and whose
+    sizes the optimizer knows.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _paths:
+        path = scratch_dir(spark)
+        STAR[name](spark, sf_dir).write.parquet(path)
+        _paths[key] = path
+    return _paths[key]
+
+
+def stored(build: Build) -> Build:
+    STAR[build.__name__] = build
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.read.parquet(star_path(spark, sf_dir, build.__name__))
 
+    return read
 
-def fact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "events"), EVENT_BASE, FACT_HISTORY)
 
+def _events(spark, sf_dir, layer):
+    return _derive(spread(table(spark, sf_dir, "events")), EVENT_BASE, layer)
 
-def batch_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "events"), EVENT_BASE, BATCH_CURRENT)
 
+def _lines(spark, sf_dir, layer):
+    return _derive(spread(table(spark, sf_dir, "lineitem")), LINE_BASE, layer)
 
-def fact_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "lineitem"), LINE_BASE, FACT_FORECAST)
 
+@stored
+def fact_current(spark, sf_dir):
+    return _events(spark, sf_dir, FACT_CURRENT)
 
-def batch_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "lineitem"), LINE_BASE, BATCH_FORECAST)
 
+@stored
+def fact_history(spark, sf_dir):
+    return _events(spark, sf_dir, FACT_HISTORY)
 
-def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+@stored
+def batch_current(spark, sf_dir):
+    return _events(spark, sf_dir, BATCH_CURRENT)
+
+
+@stored
+def target_current(spark, sf_dir):
+    """Readings at full hours, the last of each place and hour."""
+    unique = dedupe_last_wins(
+        batch_current(spark, sf_dir), UNIQUE_KEYS["fact_current_weather"], ["event_id"]
+    )
+    return unique.withColumn("weather_id", F.col("event_id")).withColumn(
+        "created_at", F.expr("observation_time + INTERVAL '5' MINUTE")
+    ).select(*FACT_CURRENT_COLUMNS.names)
+
+
+@stored
+def fact_forecast(spark, sf_dir):
+    return _lines(spark, sf_dir, FACT_FORECAST)
+
+
+@stored
+def batch_forecast(spark, sf_dir):
+    return _lines(spark, sf_dir, BATCH_FORECAST)
+
+
+@stored
+def target_forecast(spark, sf_dir):
+    unique = dedupe_last_wins(
+        batch_forecast(spark, sf_dir), UNIQUE_KEYS["fact_hourly_forecast"], LINE_ARRIVAL
+    )
+    return unique.withColumn("forecast_id", F.expr("l_orderkey * 8 + l_linenumber")).withColumn(
+        "created_at", F.expr("forecast_time - INTERVAL '1' DAY")
+    ).select(*FACT_FORECAST_COLUMNS.names)
+
+
+@stored
+def locations(spark, sf_dir):
     """One place per customer, under the customer's own name."""
     return _derive(table(spark, sf_dir, "customer"), PLACE)
 
 
-def shared_name_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_nation(df: DataFrame, key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return df.join(table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", key), key)
+
+
+@stored
+def shared_name_locations(spark, sf_dir):
     """One place per customer, under the nation's name, so many share one."""
-    named = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey"
-    )
+    named = _with_nation(table(spark, sf_dir, "customer"), "c_nationkey", spark, sf_dir)
     return _derive(named, SHARED_NAME_PLACE)
 
 
-def forecast_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey"
-    )
+@stored
+def forecast_locations(spark, sf_dir):
+    named = _with_nation(table(spark, sf_dir, "supplier"), "s_nationkey", spark, sf_dir)
     return _derive(named, FORECAST_PLACE)
 
 
@@ -239,11 +326,13 @@ def _dates(df: DataFrame, column: str) -> DataFrame:
     return describe_dates(days.selectExpr(f"{_yyyymmdd('date')} AS date_id", "date"))
 
 
-def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+@stored
+def dates(spark, sf_dir):
     return _dates(table(spark, sf_dir, "events"), "ts")
 
 
-def forecast_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+@stored
+def forecast_dates(spark, sf_dir):
     return _dates(table(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
