@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from skylattice.schemas import DEFAULT_TIMEZONE
 
+_CLOCK = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?"
 _ZONE = r"(Z|[+-]\d{2}:\d{2})$"
-_ISO = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
-)
+_LOCAL = rf"^\d{{4}}-\d{{2}}-\d{{2}}({_CLOCK})?$"
+_ZONED = rf"^\d{{4}}-\d{{2}}-\d{{2}}{_CLOCK}{_ZONE}"
 
 
 def parse_local_ts(text: Column) -> Column:
@@ -19,16 +18,19 @@ def parse_local_ts(text: Column) -> Column:
 
     The feed sends local times without a zone. One that has a zone is moved to
     UTC, as a zone-less timestamp column would store it. NULL if unreadable.
-    The session time zone plays no part.
+    The session time zone plays no part. Only text of the right form is cast:
+    a failing ``try_cast`` costs an exception.
     """
     zone = F.regexp_extract(text, _ZONE, 1)
     wall = F.regexp_replace(text, _ZONE, "").try_cast("timestamp_ntz")
-    minutes = F.coalesce(
-        F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 5, 2).try_cast("int"),
-        F.lit(0),
+    minutes = F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 5, 2).cast("int")
+    ahead = (
+        F.when(zone == "Z", 0).when(zone.startswith("-"), -minutes).otherwise(minutes)
+    )
+    return (
+        F.when(text.rlike(_LOCAL), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(_ZONED), wall - F.make_dt_interval(mins=ahead))
     )
-    ahead = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
-    return F.when(text.rlike(_ISO), wall - F.make_dt_interval(mins=ahead))
 
 
 def date_parts(date: Column) -> dict[str, Column]:

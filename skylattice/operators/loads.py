@@ -136,9 +136,11 @@ def load_summary(
 
 
 def _update_dims(
-    house: Warehouse, valid: DataFrame, time_col: str, arrival: list[str], now: Column, batch_id: str
+    house: Warehouse, valid: DataFrame, time_col: str, now: Column, batch_id: str
 ) -> None:
-    locations = upsert_location(house.stored("dim_location"), valid, arrival, now)
+    # The hours of a response share its place, so one of them stands for all.
+    places = valid.filter("hour_pos = 0") if "hour_pos" in valid.columns else valid
+    locations = upsert_location(house.stored("dim_location"), places, CURRENT_ARRIVAL, now)
     replace_table(
         locations, house.path("dim_location"), house.staging("dim_location", batch_id)
     )
@@ -155,7 +157,7 @@ def load_current(
     flat = materialize(flatten_current(landed))
     valid, rejects = route_rejects(flat)
     sink_rejects(rejects, house.path("rejects_current"), batch_id)
-    _update_dims(house, valid, "observation_time", CURRENT_ARRIVAL, now, batch_id)
+    _update_dims(house, valid, "observation_time", now, batch_id)
     batch = resolve_keys(
         valid, house.read("dim_location"), house.read("dim_date"), "observation_time",
         [*CURRENT_METRICS, *CURRENT_ARRIVAL],
@@ -185,7 +187,7 @@ def load_forecast(
     flat = materialize(flatten_hourly(landed))
     valid, rejects = route_rejects(flat)
     sink_rejects(rejects, house.path("rejects_forecast"), batch_id)
-    _update_dims(house, valid, "forecast_time", HOURLY_ARRIVAL, now, batch_id)
+    _update_dims(house, valid, "forecast_time", now, batch_id)
     batch = resolve_keys(
         valid, house.read("dim_location"), house.read("dim_date"), "forecast_time",
         [*FORECAST_METRICS, *HOURLY_ARRIVAL],
