@@ -13,11 +13,12 @@ from skylattice.functions.times import ny_now
 from skylattice.operators.dims import get_or_create_date, upsert_location
 from skylattice.operators.merge import merge_frames
 from skylattice.operators.storage import (
-    read_or_empty, replace_partitions, replace_table, sink_mart, sink_rejects, touched_days,
+    joins_map_side, read_or_empty, replace_partitions, replace_table, sink_mart, sink_rejects,
+    touched_days,
 )
 from skylattice.plans import marts
 from skylattice.schemas import CURRENT_METRICS, FORECAST_METRICS, TABLES
-from skylattice.session import materialize
+from skylattice.session import scratch
 from skylattice.sources.responses import flatten_current, flatten_hourly, route_rejects
 
 CURRENT_ARRIVAL = ["run_id", "arrival_seq"]
@@ -149,27 +150,35 @@ def _update_dims(
     replace_table(dates, house.path("dim_date"), house.staging("dim_date", batch_id))
 
 
+def _single_row(df: DataFrame) -> DataFrame:
+    """An aggregate's one row, computed now."""
+    return df.sparkSession.createDataFrame([df.first()], df.schema)
+
+
 def load_current(
     house: Warehouse, landed: DataFrame, batch_id: str, now: Column | None = None
 ) -> DataFrame:
     """Load landed current responses; returns the summary row."""
     now = ny_now() if now is None else now
-    flat = materialize(flatten_current(landed))
-    valid, rejects = route_rejects(flat)
-    sink_rejects(rejects, house.path("rejects_current"), batch_id)
-    _update_dims(house, valid, "observation_time", now, batch_id)
-    batch = resolve_keys(
-        valid, house.read("dim_location"), house.read("dim_date"), "observation_time",
-        [*CURRENT_METRICS, *CURRENT_ARRIVAL],
-    ).withColumn("part_date", F.to_date("observation_time"))
-    target = touched_days(house.stored("fact_current_weather"), batch)
-    merged = upsert_current(target, batch, now, stage=materialize)
-    replace_partitions(
-        merged, house.path("fact_current_weather"),
-        house.staging("fact_current_weather", batch_id),
-        "part_date", ["location_id", "observation_time"],
-    )
-    return materialize(load_summary(flat, now))
+    table = "fact_current_weather"
+    with scratch(house.spark) as stage:
+        flat = stage(flatten_current(landed))
+        valid, rejects = route_rejects(flat)
+        sink_rejects(rejects, house.path("rejects_current"), batch_id)
+        _update_dims(house, valid, "observation_time", now, batch_id)
+        batch = resolve_keys(
+            valid, house.read("dim_location"), house.read("dim_date"), "observation_time",
+            [*CURRENT_METRICS, *CURRENT_ARRIVAL],
+        ).withColumn("part_date", F.to_date("observation_time"))
+        target = touched_days(
+            house.stored(table), valid.select(F.to_date("observation_time").alias("part_date"))
+        )
+        replace_partitions(
+            upsert_current(target, batch, now, stage=stage),
+            house.path(table), house.staging(table, batch_id),
+            "part_date", ["location_id", "observation_time"],
+        )
+        return _single_row(load_summary(flat, now))
 
 
 def load_forecast(
@@ -183,34 +192,42 @@ def load_forecast(
     leaves the earlier forecast in place.
     """
     now = ny_now() if now is None else now
+    table = "fact_hourly_forecast"
     landed = landed.withColumn("run_id", F.coalesce("run_id", F.lit(default_run).cast("bigint")))
-    flat = materialize(flatten_hourly(landed))
-    valid, rejects = route_rejects(flat)
-    sink_rejects(rejects, house.path("rejects_forecast"), batch_id)
-    _update_dims(house, valid, "forecast_time", now, batch_id)
-    batch = resolve_keys(
-        valid, house.read("dim_location"), house.read("dim_date"), "forecast_time",
-        [*FORECAST_METRICS, *HOURLY_ARRIVAL],
-    )
-    target = house.stored("fact_hourly_forecast")
-    merge = replace_forecast if clear else upsert_forecast
-    merged = merge(target, batch, now, stage=materialize)
-    newest = batch.agg(F.max("run_id")).scalar()
-    cleared = target.filter(F.col("run_id") < newest).agg(F.count(F.lit(1))).scalar()
-    summary = materialize(load_summary(flat, now, cleared if clear else F.lit(0).cast("bigint")))
-    replace_table(
-        merged, house.path("fact_hourly_forecast"),
-        house.staging("fact_hourly_forecast", batch_id),
-    )
-    return summary
+    with scratch(house.spark) as stage:
+        flat = stage(flatten_hourly(landed))
+        valid, rejects = route_rejects(flat)
+        sink_rejects(rejects, house.path("rejects_forecast"), batch_id)
+        _update_dims(house, valid, "forecast_time", now, batch_id)
+        batch = resolve_keys(
+            valid, house.read("dim_location"), house.read("dim_date"), "forecast_time",
+            [*FORECAST_METRICS, *HOURLY_ARRIVAL],
+        )
+        target = house.stored(table)
+        cleared = F.lit(0).cast("bigint")
+        if clear:
+            newest = valid.agg(F.max("run_id")).scalar()
+            cleared = target.filter(F.col("run_id") < newest).agg(F.count(F.lit(1))).scalar()
+        summary = _single_row(load_summary(flat, now, cleared))
+        merge = replace_forecast if clear else upsert_forecast
+        replace_table(
+            merge(target, batch, now, stage=stage),
+            house.path(table), house.staging(table, batch_id),
+        )
+        return summary
 
 
 def build_marts(house: Warehouse) -> None:
-    """Rebuild both marts from the star tables."""
+    """Rebuild both marts from the star tables.
+
+    Readings are stored by day, so as long as the dimensions join map-side they
+    reach the writer day by day and need no shuffle at all.
+    """
     locations, dates = house.read("dim_location"), house.read("dim_date")
     readings = marts.weather_readings(house.read("fact_current_weather"), locations, dates)
     sink_mart(
-        readings, house.path("weather_readings"), ["neighborhood_name", "observation_time_est"]
+        readings, house.path("weather_readings"), ["neighborhood_name", "observation_time_est"],
+        rebalance=not joins_map_side(locations, dates),
     )
     hours = marts.forecast(house.read("fact_hourly_forecast"), locations, dates)
     sink_mart(hours, house.path("forecast"), ["neighborhood_name", "forecast_time"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A dimension of a million places or so still joins map-side; one whose files
+    # are larger is shuffled, and its hot keys split.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     # The marts are wide: fused into one generated method they pass the 8,000
     # bytes of bytecode up to which HotSpot compiles, and would be interpreted.
     # Above this limit Spark splits the work over smaller methods instead.
@@ -57,3 +62,23 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``materialize`` into a folder that is removed again at the end."""
+    root, made = scratch_dir(spark), []
+
+    def stage(df: DataFrame) -> DataFrame:
+        made.append(df)
+        return materialize(df, f"{root}/{len(made)}")
+
+    try:
+        yield stage
+    finally:
+        delete_path(spark, root)

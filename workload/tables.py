@@ -44,7 +44,7 @@ def _yyyymmdd(ts: str) -> str:
     return f"CAST(year({ts}) * 10000 + month({ts}) * 100 + day({ts}) AS INT)"
 
 
-def _at_hour(ts: str) -> str:
+def at_hour(ts: str) -> str:
     return f"CAST(CAST({ts} AS DATE) AS {{NTZ}}) + INTERVAL '1' HOUR * hour({ts})"
 
 
@@ -98,7 +98,7 @@ BATCH_CURRENT = [
     f"{expr} AS {name}" for name, expr in {
         "location_id": "CAST(user_id AS INT)",
         "date_id": _yyyymmdd("ts"),
-        "observation_time": _at_hour("ts"),
+        "observation_time": at_hour("ts"),
         **READINGS,
         "event_id": "event_id",
     }.items()
@@ -174,7 +174,7 @@ _STAMPS = [
 ]
 
 
-def _place(key: str, name: str) -> list[str]:
+def place(key: str, name: str) -> list[str]:
     """Coordinates are a grid walk over the key, so they are unique like it."""
     return [
         f"CAST({key} AS INT) AS location_id",
@@ -185,12 +185,12 @@ def _place(key: str, name: str) -> list[str]:
     ]
 
 
-PLACE = _place("c_custkey", "c_name")
-SHARED_NAME_PLACE = _place("c_custkey", "n_name")
-FORECAST_PLACE = _place("s_suppkey", "n_name")
+PLACE = place("c_custkey", "c_name")
+SHARED_NAME_PLACE = place("c_custkey", "n_name")
+FORECAST_PLACE = place("s_suppkey", "n_name")
 
 
-def _for(texts: list[str], engine: str) -> list[str]:
+def for_engine(texts: list[str], engine: str) -> list[str]:
     return [t.replace("{NTZ}", engine) for t in texts]
 
 
@@ -212,7 +212,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def _derive(df: DataFrame, *layers: list[str]) -> DataFrame:
     for layer in layers:
-        df = df.selectExpr(*_for(layer, SPARK))
+        df = df.selectExpr(*for_engine(layer, SPARK))
     return df
 
 
@@ -339,7 +339,7 @@ def forecast_dates(spark, sf_dir):
 # --- DuckDB ----------------------------------------------------------------
 
 def _sql(layer: list[str], source: str) -> str:
-    return f"SELECT {', '.join(_for(layer, DUCKDB))} FROM {source}"
+    return f"SELECT {', '.join(for_engine(layer, DUCKDB))} FROM {source}"
 
 
 def _date_sql(column: str, source: str) -> str:
