@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -115,8 +116,8 @@ def load_summary(
 ) -> DataFrame:
     """One row on a batch: responses in, loaded, failed, and the success rate.
 
-    For hourly responses also the hours loaded, counting a repeated hour each
-    time it came, and the rows the replacement cleared.
+    For hourly responses also the hours loaded, with a repeated hour counted each
+    time it came and counted once, and the rows the replacement cleared.
     """
     hourly = "hour_pos" in flat.columns
     first = F.coalesce("hour_pos", F.lit(0)) == 0 if hourly else F.lit(True)
@@ -127,7 +128,9 @@ def load_summary(
         F.count_if(first & ~good).alias("failed_loads"),
     ]
     if hourly:
+        hour = F.when(good, F.struct("latitude", "longitude", "forecast_time"))
         counts.append(F.count_if(good).alias("total_forecasts"))
+        counts.append(F.count_distinct(hour).alias("distinct_forecasts"))
     total = F.col("total_responses")
     rate = F.when(total > 0, F.round(F.col("successful_loads") / total * 100, 1))
     summary = flat.agg(*counts).withColumn("success_rate", rate)
@@ -183,17 +186,19 @@ def load_current(
 
 def load_forecast(
     house: Warehouse, landed: DataFrame, batch_id: str, now: Column | None = None,
-    default_run: int = 0, clear: bool = True,
+    clear: bool = True,
 ) -> DataFrame:
     """Load landed hourly responses; returns the summary row.
 
     ``clear`` keeps only the newest run, as the scheduled job does; without it
-    rows of earlier runs stay. A new run of which nothing could be loaded
-    leaves the earlier forecast in place.
+    rows of earlier runs stay. Responses without a ``run_id`` belong to a run of
+    their own, numbered by the clock in milliseconds. A new run of which nothing
+    could be loaded leaves the earlier forecast in place.
     """
     now = ny_now() if now is None else now
     table = "fact_hourly_forecast"
-    landed = landed.withColumn("run_id", F.coalesce("run_id", F.lit(default_run).cast("bigint")))
+    this_run = F.lit(time.time_ns() // 1_000_000).cast("bigint")
+    landed = landed.withColumn("run_id", F.coalesce("run_id", this_run))
     with scratch(house.spark) as stage:
         flat = stage(flatten_hourly(landed))
         valid, rejects = route_rejects(flat)
