@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
 
 
@@ -18,7 +20,19 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word matches of every document with the benchmark."""
+    found = matched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"), "longest", "spans",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_decontaminate": op10_decontaminate,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
 
