@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
 
@@ -20,6 +21,18 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed token ids, written and read back."""
+    return unpack(*pack(table(spark, sf_dir, "documents"), tokenizer_file()))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word matches of every document with the benchmark."""
     found = matched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -32,6 +45,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_token_output": op7_token_output,
     "op10_decontaminate": op10_decontaminate,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
