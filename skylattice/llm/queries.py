@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
+from skylattice.llm.language import fit, held_out, predict
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,13 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = predict(documents, fit(documents.where(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed token ids, written and read back."""
     return unpack(*pack(table(spark, sf_dir, "documents"), tokenizer_file()))
@@ -45,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_language_id": op5_language_id,
     "op7_token_output": op7_token_output,
     "op10_decontaminate": op10_decontaminate,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
