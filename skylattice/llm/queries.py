@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylattice.llm import quality
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -36,6 +37,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labels by co-training."""
+    documents = table(spark, sf_dir, "documents")
+    return quality.judge(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed token ids, written and read back."""
     return unpack(*pack(table(spark, sf_dir, "documents"), tokenizer_file()))
@@ -54,6 +61,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_token_output": op7_token_output,
     "op10_decontaminate": op10_decontaminate,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
