@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import quality
+from skylattice.llm import mixing, quality
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -48,6 +48,12 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(*pack(table(spark, sf_dir, "documents"), tokenizer_file()))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that fill a token budget at the target weights."""
+    taken = mixing.select_prefixes(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_epoch", "mix_tokens", "mix_share")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word matches of every document with the benchmark."""
     found = matched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -63,9 +69,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_token_output": op7_token_output,
+    "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
 
 #: Equivalent SQL, where SQL can say it.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mixing": mixing.plain_sql(),
+}
