@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import mixing, quality
+from skylattice.llm import line_dedup, mixing, quality
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -48,6 +48,12 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(*pack(table(spark, sf_dir, "documents"), tokenizer_file()))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat runs of 50 words or more."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(documents)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that fill a token budget at the target weights."""
     taken = mixing.select_prefixes(table(spark, sf_dir, "documents"))
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_token_output": op7_token_output,
+    "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
@@ -76,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Equivalent SQL, where SQL can say it.
 ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": line_dedup.plain_sql(),
     "op9_mixing": mixing.plain_sql(),
 }
