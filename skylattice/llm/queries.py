@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import line_dedup, mixing, quality
+from skylattice.llm import line_dedup, mixing, quality, url_filter
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules and a classifier that learns from the URLs they decide."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.train(url_filter.by_rule(pages)))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
+    "op1_url_filter": op1_url_filter,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
 
