@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import line_dedup, mixing, quality, url_filter
+from skylattice.llm import line_dedup, mixing, quality, topk, url_filter
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -36,6 +36,12 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(embeddings, embeddings.where("vec_id % 50 = 0"), k=5)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three quarters of them."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -78,6 +84,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_language_id": op5_language_id,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_token_output": op7_token_output,
@@ -90,6 +97,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Equivalent SQL, where SQL can say it.
 ORACLE_SQL: dict[str, str] = {
+    "op4_exact_top_k": """
+        with vectors as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v from embeddings
+            where vec_id is not null and embedding is not null and len(embedding) > 0
+                and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+        scored as (
+            select q.vec_id query_id, x.vec_id, list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2]))::bigint score
+            from vectors q join vectors x on q.vec_id % 50 = 0 and q.vec_id <> x.vec_id),
+        ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer rank from scored)
+        select query_id, rank, vec_id, score from ranked where rank <= 5""",
     "op8_line_dedup": line_dedup.plain_sql(),
     "op9_mixing": mixing.plain_sql(),
 }
