@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import line_dedup, mixing, quality, topk, url_filter
+from skylattice.llm import line_dedup, mixing, pii, quality, topk, url_filter
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -24,6 +24,13 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.train(url_filter.by_rule(pages)))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document; the counts and the digest are those of the base spans."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(documents, pii.fit(documents))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_decontaminate": op10_decontaminate,
     "op1_url_filter": op1_url_filter,
+    "op2_pii": op2_pii,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
 
