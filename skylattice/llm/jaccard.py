@@ -9,6 +9,12 @@ in one of them at least, two linked sets differ in one feature or none. Each
 partition is dealt once more into three, and for every choice of two of the
 three the features there make one signature: one of these is equal for both.
 
+A signature of no features says nothing, and large sets would meet in thousands
+of them. So an instance gets ``slack`` more partitions, and a set leaves its empty
+signatures out if they lie in at most that many partitions. Linked sets agree in
+more than ``slack`` partitions: if one of the two leaves empty signatures out,
+they still share one that is not empty, and otherwise both keep theirs.
+
 What shares a signature is a candidate. Candidates are settled in two steps that
 lose no link: first every set is compared with one pivot, which joins the groups
 of copies; then members of one bucket that are still in different components are
@@ -57,6 +63,10 @@ def bands(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]
     return np.array(first, np.int64), np.array(parts, np.int64)
 
 
+def slack(parts: np.ndarray) -> np.ndarray:
+    return np.minimum(parts // 12, 2 + parts // 50)
+
+
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, row of each feature, feature) for pieces of a text column."""
     for first, end, data, offsets in pieces(column):
@@ -103,7 +113,8 @@ def signatures(row: np.ndarray, value: np.ndarray, n: int, first: np.ndarray, pa
     weight = mix(value, 7)
     flat, owner = [], []
     for step in (0, 1):
-        n1 = np.where(size > 0, parts[band + step], 0)
+        spare = slack(parts[band + step])
+        n1 = np.where(size > 0, parts[band + step] + spare, 0)
         base = np.concatenate(([0], np.cumsum(n1)))
         if base[-1] == 0:
             continue
@@ -113,8 +124,12 @@ def signatures(row: np.ndarray, value: np.ndarray, n: int, first: np.ndarray, pa
         whose = np.repeat(np.arange(n), n1)
         tag = (band[whose] + step).astype(U64) << U64(40) | (np.arange(base[-1]) - base[whose]).astype(U64) << U64(2)
         two = thirds.sum(axis=1, keepdims=True, dtype=U64) - thirds
-        flat.append(mix(mix(two, 8) ^ (tag[:, None] | np.arange(3, dtype=U64)), 9).ravel())
-        owner.append(np.repeat(whose, 3))
+        held = np.bincount(at * 3 + third[use], minlength=int(base[-1]) * 3).reshape(-1, 3)
+        empty = held.sum(axis=1, keepdims=True) == held
+        holes = np.bincount(whose, weights=empty.any(axis=1), minlength=n)
+        kept = ~(empty & (holes <= spare)[whose][:, None]).ravel()
+        flat.append(mix(mix(two, 8) ^ (tag[:, None] | np.arange(3, dtype=U64)), 9).ravel()[kept])
+        owner.append(np.repeat(whose, 3)[kept])
     if not flat:
         return np.zeros(0, np.int64), np.zeros(n, np.int64)
     flat, owner = np.concatenate(flat), np.concatenate(owner)
