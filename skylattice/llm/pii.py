@@ -3,8 +3,8 @@
 The patterns give the base spans, which always stay. The random field reads the
 regions of a text in which something may be personal: runs of neighbouring words
 that hold a digit or an at sign. Whole candidate segments of up to ``MAX_WORDS``
-words are scored by features of the segment as one (shape, digits, checks,
-separators), and dynamic programming over segments of bounded length chooses
+words are scored by features of the segment as one (shape, digits, separators),
+each only for the kinds whose own check it passes, and dynamic programming over segments of bounded length chooses
 boundaries and kinds together. A segment that it takes for personal by ``MARGIN``
 more than for other text, and that no base span overlaps, is added.
 
@@ -124,6 +124,18 @@ def _core(text: str, start: int, stop: int) -> tuple[int, int]:
     return (a, b) if a < b else (start, stop)
 
 
+def may_be(span: str) -> tuple[bool, ...]:
+    """For each kind whether a segment passes the kind's own check; only then is it a candidate of it."""
+    digits = NOT_DIGIT.sub("", span)
+    parts = span.split(".")
+    return (
+        "@" in span and 0 < span.find("@") == len(span) - len(span.lstrip(LOCAL)) and DOMAIN.fullmatch(span, span.find("@") + 1) is not None,
+        len(parts) == 4 and all(p.isascii() and p.isdigit() and _octet(p) for p in parts),
+        13 <= len(digits) <= 19 and not span.strip("0123456789 -") and luhn(digits),
+        9 <= len(digits) <= 15 and not span.strip("+0123456789 ().-"),
+    )
+
+
 def features(span: str, words: int) -> list[str]:
     """What a whole candidate segment looks like."""
     digits = NOT_DIGIT.sub("", span)
@@ -142,10 +154,6 @@ def features(span: str, words: int) -> list[str]:
     ]
     if 13 <= n <= 19:
         out.append(f"luhn {luhn(digits)} {letters > 0}")
-    if len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts):
-        out.append(f"octets {all(map(_octet, parts))}")
-    if "@" in span:
-        out.append(f"address {DOMAIN.fullmatch(span, span.rfind('@') + 1) is not None} {len(span) - len(span.rstrip(LOCAL)) > 0}")
     if "=" in span or "_" in span:
         out.append("assignment")
     return out
@@ -175,11 +183,12 @@ class Field:
         out = [[] for _ in range(len(words) + 1)]
         for j in range(1, len(words) + 1):
             for i in range(max(0, j - MAX_WORDS), j):
-                found = features(text[words[i][0] : words[j - 1][1]], j - i)
-                score = self.score(found)
-                if j - i > 1:
-                    score[0] = -math.inf
-                out[j].append((i, found, score))
+                span = text[words[i][0] : words[j - 1][1]]
+                fits = (j - i == 1, *may_be(span))
+                if any(fits):
+                    found = features(span, j - i)
+                    score = [s if fit else -math.inf for s, fit in zip(self.score(found), fits, strict=True)]
+                    out[j].append((i, found, score))
         return out
 
     def decode(self, text: str, words: list[tuple[int, int]]) -> list[tuple[int, int, int, float]]:
