@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skylattice import files
+
 # Runtime re-planning is what lets the joins below pick broadcast or skew-split
 # from measured sizes, so the job needs it on; sizes are left to the cluster.
 ENGINE_CONF = {
@@ -64,11 +66,6 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """``materialize`` into a folder that is removed again at the end."""
@@ -81,4 +78,4 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield stage
     finally:
-        delete_path(spark, root)
+        files.delete(spark, root)
