@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylattice.session import delete_path, materialize, scratch_dir
+from skylattice import files
+from skylattice.session import materialize, scratch_dir
 
 
 class Workspace:
@@ -32,4 +33,4 @@ class Workspace:
     def drop(self, *tables: DataFrame) -> None:
         for df, path in self.staged:
             if any(df is table for table in tables):
-                delete_path(self.spark, path)
+                files.delete(self.spark, path)
