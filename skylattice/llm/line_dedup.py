@@ -32,40 +32,46 @@ MIN_WORDS = 50
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def windows(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, tag, first, last, key, again, mark) of every window.
-
-    Lines that are not blank count from 1. ``key`` and ``again`` hash the window's
-    lines, ``mark`` is its fingerprint.
-    """
+def line_hashes(documents: DataFrame) -> DataFrame:
+    """(doc_id, tag, kept): two hashes h, g and the number of words n of every line that is not blank."""
     lines = documents.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("tag"),
         F.transform(F.split("text", "\n"), lambda x: F.struct(
             F.xxhash64(x).alias("h"), F.xxhash64(F.lit("again"), x).alias("g"), F.regexp_count(x, F.lit(WORD)).alias("n"),
         )).alias("all"),
     )
-    lines = lines.select("doc_id", "tag", F.filter("all", lambda x: x["n"] > 0).alias("kept")).where("size(kept) > 0")
-    lines = lines.select("doc_id", "tag", F.expr("kept.h").alias("h"), F.expr("kept.g").alias("g"), F.expr("kept.n").alias("n"))
-    # A line has a word at least, so that no window is longer than `min_words` lines.
-    reach = (
-        "aggregate({cut}, named_struct('sum', 0, 'len', 0), (s, x) -> "
-        f"if(s.sum >= {min_words}, s, named_struct('sum', s.sum + x, 'len', s.len + 1)))"
-    )
-    ahead = reach.format(cut=f"slice(n, p, {min_words})")
-    back = reach.format(cut=f"reverse(slice(n, greatest(1, q - {min_words - 1}), least(q, {min_words})))")
-    one = f"n[p - 1] >= {min_words}"
-    lines = lines.withColumn("forward", F.expr(
-        f"transform(sequence(1, size(n)), p -> if({one}, named_struct('sum', n[p - 1], 'len', 1), {ahead}))"
-    ))
-    lines = lines.withColumn("backward", F.expr(
-        f"transform(sequence(1, size(n)), q -> if({one.replace('p', 'q')}, named_struct('sum', n[q - 1], 'len', 1), {back}))"
-    ))
+    return lines.select("doc_id", "tag", F.filter("all", lambda x: x["n"] > 0).alias("kept"))
+
+
+def windows(hashed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, tag, first, last, key, again, mark) of every window of ``line_hashes``.
+
+    Lines that are not blank count from 1. ``key`` and ``again`` hash the window's
+    lines, ``mark`` is its fingerprint. ``hashed`` should be a stored table: an
+    array worked out again inside a function over it would take the square of its length.
+    """
+    lines = hashed.select("doc_id", "tag", F.expr("kept.h").alias("h"), F.expr("kept.g").alias("g"), F.expr("kept.n").alias("n"))
+    # A line has a word at least, so that no window is longer than `min_words` lines; most are far shorter.
+    def reach(at: str, cut: str) -> str:
+        def over(size: int) -> str:
+            return (
+                f"aggregate({cut.format(size=size)}, named_struct('sum', 0, 'len', 0), (s, x) -> "
+                f"if(s.sum >= {min_words}, s, named_struct('sum', s.sum + x, 'len', s.len + 1)))"
+            )
+
+        few = over(min(6, min_words))
+        return f"if(n[{at} - 1] >= {min_words}, named_struct('sum', n[{at} - 1], 'len', 1), if({few}.sum >= {min_words}, {few}, {over(min_words)}))"
+
+    each = "transform(if(size(n) > 0, sequence(1, size(n)), array())"
+    ahead = reach("p", "slice(n, p, {size})")
+    back = reach("q", "reverse(slice(n, greatest(1, q - {size} + 1), least(q, {size})))")
+    lines = lines.withColumn("forward", F.expr(f"{each}, p -> {ahead})")).withColumn("backward", F.expr(f"{each}, q -> {back})"))
     # A backward window that is also the forward one of its first line is left out.
     spans = F.expr(
         f"concat(filter(transform(forward, (s, i) -> if(s.sum >= {min_words}, named_struct('first', i + 1, 'last', i + s.len), null)), x -> x is not null), "
         f"filter(transform(backward, (s, i) -> if(s.sum - n[i] >= {min_words}, named_struct('first', i + 2 - s.len, 'last', i + 1), null)), x -> x is not null))"
     )
-    found = lines.withColumn("spans", spans).where("size(spans) > 0").select("doc_id", "tag", F.inline(F.expr(
+    found = lines.withColumn("spans", spans).select("doc_id", "tag", F.inline(F.expr(
         "transform(spans, s -> named_struct('first', s.first, 'last', s.last, "
         "'key', xxhash64(slice(h, s.first, s.last - s.first + 1)), 'again', xxhash64(slice(g, s.first, s.last - s.first + 1)), "
         "'mark', array_min(slice(h, s.first, s.last - s.first + 1))))"
@@ -76,7 +82,9 @@ def windows(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS, work: Workspace | None = None) -> DataFrame:
     """(doc_id, tag, start, end, source, source_tag, source_start): maximal runs of lines that stand in an earlier place."""
     work = work or Workspace(documents.sparkSession)
-    found = work.stage(windows(documents, min_words))
+    hashed = work.stage(line_hashes(documents))
+    found = work.stage(windows(hashed, min_words))
+    work.drop(hashed)
     place = F.struct("doc_id", "tag", "first")
     # A fingerprint at one place only, or of one window only, cannot be part of a repeated run.
     marks = found.groupBy("mark").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("mark")
@@ -111,7 +119,7 @@ def remove_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> D
     rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "text", F.xxhash64("text").alias("tag"))
     rows = rows.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("tag") == F.col("gone_tag")), "left")
     rows = rows.withColumn("lines", F.split("text", "\n")).withColumn("solid", F.expr(
-        f"filter(sequence(0, size(lines) - 1), i -> regexp_count(lines[i], r'{WORD}') > 0)"
+        f"filter(sequence(0, size(lines) - 1), i -> regexp_like(lines[i], r'{WORD}'))"
     ))
     left = "array_join(transform(array_except(sequence(0, size(lines) - 1), transform(gone, x -> solid[x - 1])), i -> lines[i]), '\n')"
     clean = F.expr(f"if(gone is null, text, {left})")
