@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ COORDS = ["latitude", "longitude"]
 
 
 def upsert_location(
-    locations: DataFrame, batch: DataFrame, arrival: list[str], now: Column
+    locations: DataFrame, batch: DataFrame, arrival: list[str], now: Column,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """``locations`` after taking in the places of ``batch``.
 
@@ -23,12 +26,11 @@ def upsert_location(
     incoming name; ``updated_at`` moves to ``now`` even if the name is the same.
     """
     named = batch.select("neighborhood_name", *COORDS, *arrival)
-    unique = dedupe_last_wins(named, COORDS, arrival).drop(*arrival)
-    kept, incoming = split_merge(
-        locations, unique, COORDS, ["location_id", "timezone", "created_at"]
+    unique = stage(dedupe_last_wins(named, COORDS, arrival).drop(*arrival))
+    incoming = unique.withColumn("updated_at", now)
+    updated, fresh = split_merge(
+        locations, incoming, COORDS, ["location_id", "timezone", "created_at"]
     )
-    matched = incoming.filter(F.col("location_id").isNotNull())
-    fresh = incoming.filter(F.col("location_id").isNull())
     added = assign_keys(
         fresh,
         "location_id",
@@ -37,14 +39,18 @@ def upsert_location(
         bucket=digest_bucket(*COORDS),
         start=_highest(locations, "location_id"),
     ).withColumns({"timezone": F.lit(DEFAULT_TIMEZONE), "created_at": now})
-    changed = matched.unionByName(added).withColumn("updated_at", now)
-    return kept.unionByName(changed).select(*DIM_LOCATION.names)
+    return updated.unionByName(added).select(*DIM_LOCATION.names)
+
+
+def new_dates(dates: DataFrame, batch: DataFrame, date_col: str = "date") -> DataFrame:
+    """The days of ``batch`` that ``dates`` lacks."""
+    days = batch.select(F.col(date_col).alias("date")).filter("date IS NOT NULL").distinct()
+    return days.join(dates.select("date"), "date", "left_anti")
 
 
 def get_or_create_date(dates: DataFrame, batch: DataFrame, date_col: str = "date") -> DataFrame:
     """``dates`` plus the days of ``batch`` it lacks; known days stay as they are."""
-    days = batch.select(F.col(date_col).alias("date")).filter("date IS NOT NULL").distinct()
-    fresh = days.join(dates.select("date"), "date", "left_anti")
+    fresh = new_dates(dates, batch, date_col)
     added = assign_keys(
         fresh,
         "date_id",

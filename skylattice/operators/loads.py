@@ -1,8 +1,13 @@
-"""The hourly loads: landed responses into dimensions and facts."""
+"""The hourly loads: landed responses into dimensions and facts.
+
+A run is told by the feed: responses with the same ``run_id`` are one run, and a
+higher id is newer. Responses without an id are a run of their own, older than
+any with one. Within a run, the response of a place that arrived last stands for
+the place, whole; arrival is the number in the feed, or else the landed file.
+"""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -11,32 +16,61 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylattice.functions.times import ny_now
-from skylattice.operators.dims import get_or_create_date, upsert_location
+from skylattice.operators import quality
+from skylattice.operators.dims import get_or_create_date, new_dates, upsert_location
 from skylattice.operators.merge import merge_frames
 from skylattice.operators.storage import (
-    joins_map_side, read_or_empty, replace_partitions, replace_table, sink_mart, sink_rejects,
-    touched_days,
+    days_of, folders, partition_of, read_batches, read_mart, read_stored, replace_partitions,
+    replace_table, sink_batch, sink_mart,
 )
 from skylattice.plans import marts
-from skylattice.schemas import CURRENT_METRICS, FORECAST_METRICS, TABLES
+from skylattice.schemas import (
+    CURRENT_METRICS, FACT_CURRENT, FACT_FORECAST, FORECAST_METRICS, TABLES,
+)
 from skylattice.session import scratch
 from skylattice.sources.responses import flatten_current, flatten_hourly, route_rejects
 
-CURRENT_ARRIVAL = ["run_id", "arrival_seq"]
-HOURLY_ARRIVAL = ["run_id", "arrival_seq", "hour_pos"]
+CURRENT_ARRIVAL = ["run_id", "arrival"]
+HOURLY_ARRIVAL = ["run_id", "arrival", "hour_pos"]
+PLAIN_RUN = 0
+
+ARRIVAL = T.StructType([
+    T.StructField("seq", T.LongType()), T.StructField("at", T.TimestampType()),
+    T.StructField("file", T.StringType()), T.StructField("first", T.StringType()),
+    T.StructField("mark", T.LongType()),
+])
 
-# How the two growing tables are stored: current readings by day, so an upsert
-# rewrites the days it touches; forecast rows with the run they came from.
+# How the two growing tables are stored: by day, forecasts also by the run they
+# came from. A forecast row keeps the arrival of its response.
 STORED = {
     **TABLES,
     "fact_current_weather": T.StructType(
-        [*TABLES["fact_current_weather"], T.StructField("part_date", T.DateType())]
-    ),
-    "fact_hourly_forecast": T.StructType(
-        [*TABLES["fact_hourly_forecast"], T.StructField("run_id", T.LongType())]
+        [*FACT_CURRENT, T.StructField("part_date", T.DateType())]
     ),
+    "fact_hourly_forecast": T.StructType([
+        *FACT_FORECAST, T.StructField("arrival", ARRIVAL),
+        T.StructField("run_id", T.LongType()), T.StructField("part_date", T.DateType()),
+    ]),
+}
+PARTITIONS = {
+    "fact_current_weather": ["part_date"], "fact_hourly_forecast": ["run_id", "part_date"],
 }
 
+# One row per load or build; counts that a kind of load has none of are NULL.
+SUMMARY = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("total_responses", T.LongType()),
+    T.StructField("successful_loads", T.LongType()),
+    T.StructField("failed_loads", T.LongType()),
+    T.StructField("ignored_loads", T.LongType()),
+    T.StructField("total_forecasts", T.LongType()),
+    T.StructField("distinct_forecasts", T.LongType()),
+    T.StructField("success_rate", T.DoubleType()),
+    T.StructField("rows_cleared", T.LongType()),
+    T.StructField("n_rows", T.LongType()),
+    T.StructField("finished_at", T.TimestampNTZType()),
+])
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -48,15 +82,20 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def staging(self, table: str, batch_id: str) -> str:
-        return self.path(f"_staging/{table}/{batch_id}")
-
-    def stored(self, table: str) -> DataFrame:
-        return read_or_empty(self.spark, self.path(table), STORED[table])
+    def stored(
+        self, table: str, chosen: Callable[[dict[str, str]], bool] = lambda partition: True
+    ) -> DataFrame:
+        """The table as it is stored; one that drifted from its contract is an error."""
+        return read_stored(
+            self.spark, self.path(table), STORED[table], PARTITIONS.get(table, ()), chosen
+        )
 
     def read(self, table: str) -> DataFrame:
         return self.stored(table).select(*TABLES[table].names)
 
+    def mart(self, name: str) -> DataFrame:
+        return read_mart(self.spark, self.path(name), marts.mart_schema(self.spark, name))
+
 
 def resolve_keys(
     rows: DataFrame,
@@ -98,17 +137,34 @@ def replace_forecast(
     target: DataFrame, batch: DataFrame, now: Column,
     arrival: Sequence[str] = HOURLY_ARRIVAL,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    winners: DataFrame | None = None,
 ) -> DataFrame:
-    """Only the newest run's rows. Both sides carry ``run_id``.
+    """Only the newest run's rows, of each place those of its last response.
 
-    A newer run clears the table, more of the same run is merged into it, and an
-    older run that comes late changes nothing, so the outcome does not depend on
-    how a run was cut into batches.
+    Both sides carry ``run_id`` and the ``arrival`` of their response. A newer run
+    clears the table; an older run, or an older response of the same run, changes
+    nothing. So the outcome does not depend on how a run was cut into batches.
     """
     runs = target.select("run_id").union(batch.select("run_id"))
-    newest = runs.agg(F.max("run_id")).scalar()
-    is_newest = F.col("run_id") == newest
-    return upsert_forecast(target.filter(is_newest), batch.filter(is_newest), now, arrival, stage)
+    is_newest = F.col("run_id") == runs.agg(F.max("run_id")).scalar()
+    target, batch = target.filter(is_newest), batch.filter(is_newest)
+    winners = stage(newest_responses(target, batch)) if winners is None else winners
+    taken = batch.join(winners, ["location_id", "arrival"])
+    return merge_frames(
+        target, taken.select(*batch.columns), ["location_id", "forecast_time"], "forecast_id",
+        arrival, now, stage, gone=winners,
+    )
+
+
+def newest_responses(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """``location_id, arrival`` of the responses of ``batch`` that are the last of their place.
+
+    One row per place and task is what is shuffled, however often a place reports.
+    """
+    last = batch.groupBy("location_id").agg(F.max("arrival").alias("arrival"))
+    stored = target.groupBy("location_id").agg(F.max("arrival").alias("_stored"))
+    newer = F.col("_stored").isNull() | (F.col("arrival") > F.col("_stored"))
+    return last.join(stored, "location_id", "left").filter(newer).select("location_id", "arrival")
 
 
 def load_summary(
@@ -117,16 +173,22 @@ def load_summary(
     """One row on a batch: responses in, loaded, failed, and the success rate.
 
     For hourly responses also the hours loaded, with a repeated hour counted each
-    time it came and counted once, and the rows the replacement cleared.
+    time it came and counted once, and the rows the replacement cleared. Where
+    ``flat`` has a flag ``ignored``, responses older than what is stored are
+    counted apart, and neither they nor their hours count as loaded.
     """
     hourly = "hour_pos" in flat.columns
     first = F.coalesce("hour_pos", F.lit(0)) == 0 if hourly else F.lit(True)
-    good = F.col("reason").isNull()
+    usable = F.col("reason").isNull()
+    told = "ignored" in flat.columns
+    good = usable & ~F.col("ignored") if told else usable
     counts = [
         F.count_if(first).alias("total_responses"),
         F.count_if(first & good).alias("successful_loads"),
-        F.count_if(first & ~good).alias("failed_loads"),
+        F.count_if(first & ~usable).alias("failed_loads"),
     ]
+    if told:
+        counts.append(F.count_if(first & usable & F.col("ignored")).alias("ignored_loads"))
     if hourly:
         hour = F.when(good, F.struct("latitude", "longitude", "forecast_time"))
         counts.append(F.count_if(good).alias("total_forecasts"))
@@ -140,22 +202,35 @@ def load_summary(
 
 
 def _update_dims(
-    house: Warehouse, valid: DataFrame, time_col: str, now: Column, batch_id: str
+    house: Warehouse, valid: DataFrame, time_col: str, now: Column,
+    stage: Callable[[DataFrame], DataFrame],
 ) -> None:
     # The hours of a response share its place, so one of them stands for all.
     places = valid.filter("hour_pos = 0") if "hour_pos" in valid.columns else valid
-    locations = upsert_location(house.stored("dim_location"), places, CURRENT_ARRIVAL, now)
+    stored = house.stored("dim_location")
     replace_table(
-        locations, house.path("dim_location"), house.staging("dim_location", batch_id)
+        upsert_location(stored, places, CURRENT_ARRIVAL, now, stage), house.path("dim_location")
     )
-    days = valid.select(F.to_date(time_col).alias("date"))
-    dates = get_or_create_date(house.stored("dim_date"), days)
-    replace_table(dates, house.path("dim_date"), house.staging("dim_date", batch_id))
+    dates = house.stored("dim_date")
+    days = stage(new_dates(dates, valid.select(F.to_date(time_col).alias("date"))))
+    if not days.isEmpty():
+        replace_table(get_or_create_date(dates, days), house.path("dim_date"))
+
 
+def _report(house: Warehouse, kind: str, summary: DataFrame) -> DataFrame:
+    """Store the row of a load, the last of its kind, and return it as it was."""
+    row = house.spark.createDataFrame([summary.first()], summary.schema)
+    full = row.withColumn("kind", F.lit(kind)).select(*[
+        (F.col(f.name) if f.name in [*row.columns, "kind"] else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in SUMMARY
+    ])
+    replace_partitions(full, house.path("load_report"), ["kind"])
+    return row
 
-def _single_row(df: DataFrame) -> DataFrame:
-    """An aggregate's one row, computed now."""
-    return df.sparkSession.createDataFrame([df.first()], df.schema)
+
+def run_report(house: Warehouse) -> DataFrame:
+    """The last current load, forecast load, mart builds and checks, a row each."""
+    return read_stored(house.spark, house.path("load_report"), SUMMARY, ["kind"])
 
 
 def load_current(
@@ -167,21 +242,19 @@ def load_current(
     with scratch(house.spark) as stage:
         flat = stage(flatten_current(landed))
         valid, rejects = route_rejects(flat)
-        sink_rejects(rejects, house.path("rejects_current"), batch_id)
-        _update_dims(house, valid, "observation_time", now, batch_id)
+        sink_batch(rejects, house.path("rejects_current"), batch_id)
+        _update_dims(house, valid, "observation_time", now, stage)
         batch = resolve_keys(
             valid, house.read("dim_location"), house.read("dim_date"), "observation_time",
             [*CURRENT_METRICS, *CURRENT_ARRIVAL],
         ).withColumn("part_date", F.to_date("observation_time"))
-        target = touched_days(
-            house.stored(table), valid.select(F.to_date("observation_time").alias("part_date"))
-        )
+        days = days_of(valid.select(F.to_date("observation_time").alias("part_date")))
+        target = house.stored(table, lambda partition: partition["part_date"] in days)
         replace_partitions(
             upsert_current(target, batch, now, stage=stage),
-            house.path(table), house.staging(table, batch_id),
-            "part_date", ["location_id", "observation_time"],
+            house.path(table), PARTITIONS[table], ["location_id", "observation_time"],
         )
-        return _single_row(load_summary(flat, now))
+        return _report(house, "load_current", load_summary(flat, now))
 
 
 def load_forecast(
@@ -190,49 +263,131 @@ def load_forecast(
 ) -> DataFrame:
     """Load landed hourly responses; returns the summary row.
 
-    ``clear`` keeps only the newest run, as the scheduled job does; without it
-    rows of earlier runs stay. Responses without a ``run_id`` belong to a run of
-    their own, numbered by the clock in milliseconds. A new run of which nothing
+    ``clear`` keeps only the newest run, as the scheduled job does, and of each
+    place its last response; without it rows of earlier runs stay, and a row is
+    replaced by a later one for the same place and hour. A run of which nothing
     could be loaded leaves the earlier forecast in place.
+
+    A new run is new folders, and clearing is naming none of the old ones; more
+    of the same run reads and rewrites the days it touches.
     """
     now = ny_now() if now is None else now
-    table = "fact_hourly_forecast"
-    this_run = F.lit(time.time_ns() // 1_000_000).cast("bigint")
-    landed = landed.withColumn("run_id", F.coalesce("run_id", this_run))
+    table, path = "fact_hourly_forecast", house.path("fact_hourly_forecast")
     with scratch(house.spark) as stage:
         flat = stage(flatten_hourly(landed))
         valid, rejects = route_rejects(flat)
-        sink_rejects(rejects, house.path("rejects_forecast"), batch_id)
-        _update_dims(house, valid, "forecast_time", now, batch_id)
-        batch = resolve_keys(
+        sink_batch(rejects, house.path("rejects_forecast"), batch_id)
+        valid = valid.withColumn("run_id", F.coalesce("run_id", F.lit(PLAIN_RUN).cast("bigint")))
+        _update_dims(house, valid, "forecast_time", now, stage)
+        batch = stage(resolve_keys(
             valid, house.read("dim_location"), house.read("dim_date"), "forecast_time",
             [*FORECAST_METRICS, *HOURLY_ARRIVAL],
-        )
-        target = house.stored(table)
-        cleared = F.lit(0).cast("bigint")
+        ).withColumn("part_date", F.to_date("forecast_time")))
         if clear:
-            newest = valid.agg(F.max("run_id")).scalar()
-            cleared = target.filter(F.col("run_id") < newest).agg(F.count(F.lit(1))).scalar()
-        summary = _single_row(load_summary(flat, now, cleared))
-        merge = replace_forecast if clear else upsert_forecast
-        replace_table(
-            merge(target, batch, now, stage=stage),
-            house.path(table), house.staging(table, batch_id),
+            ignored, cleared = _store_newest(house, batch, now, stage)
+        else:
+            days = days_of(batch)
+            touched = lambda partition: partition["part_date"] in days
+            merged = upsert_forecast(house.stored(table, touched), batch, now, stage=stage)
+            replace_partitions(
+                merged, path, PARTITIONS[table], ["location_id", "forecast_time"], touched
+            )
+            ignored, cleared = None, 0
+        if ignored is not None:
+            known = house.read("dim_location").select("location_id", "latitude", "longitude")
+            older = ignored.join(known, "location_id").select(
+                "latitude", "longitude", "run_id", F.lit(True).alias("ignored")
+            )
+            run = F.coalesce("run_id", F.lit(PLAIN_RUN).cast("bigint"))
+            marked = flat.withColumn("run_id", run).join(
+                older, ["latitude", "longitude", "run_id"], "left"
+            )
+            flat = marked.withColumn("ignored", F.coalesce("ignored", F.lit(False)))
+        else:
+            flat = flat.withColumn("ignored", F.lit(False))
+        return _report(
+            house, "load_forecast", load_summary(flat, now, F.lit(cleared).cast("bigint"))
         )
-        return summary
 
 
-def build_marts(house: Warehouse) -> None:
-    """Rebuild both marts from the star tables.
+def _store_newest(
+    house: Warehouse, batch: DataFrame, now: Column, stage: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, int]:
+    """Bring the stored forecast to the newest run.
 
-    Readings are stored by day, so as long as the dimensions join map-side they
-    reach the writer day by day and need no shuffle at all.
+    Returns ``location_id, run_id`` of the places whose responses changed nothing,
+    and how many rows were cleared.
     """
+    table, path = "fact_hourly_forecast", house.path("fact_hourly_forecast")
+    places = stage(batch.select("location_id", "run_id").distinct())
+    there = {int(partition_of(f)["run_id"]) for f in folders(house.spark, path)}
+    newest = max([*there, *(r[0] for r in places.agg(F.max("run_id")).collect() if r[0] is not None)], default=None)
+    current = batch.filter(F.col("run_id") == F.lit(newest))
+    stored = house.stored(table, lambda partition: partition["run_id"] == str(newest))
+    winners = stage(newest_responses(stored, current))
+    ignored = places.join(
+        winners.select("location_id", F.lit(newest).cast("bigint").alias("run_id")),
+        ["location_id", "run_id"], "left_anti",
+    )
+    ignored = stage(ignored)
+    if winners.isEmpty():
+        return ignored, 0
+    cleared = house.stored(table, lambda partition: partition["run_id"] != str(newest)).count()
+    # The days of the new rows, and those on which the places had rows before.
+    taken = current.join(winners, ["location_id", "arrival"], "left_semi")
+    days = days_of(taken) | days_of(stored.join(winners, "location_id", "left_semi"))
+    touched = house.stored(
+        table, lambda p: p["run_id"] == str(newest) and p["part_date"] in days
+    )
+    replace_partitions(
+        replace_forecast(touched, current, now, stage=stage, winners=winners),
+        path, PARTITIONS[table], ["location_id", "forecast_time"],
+        lambda p: p["run_id"] != str(newest) or p["part_date"] in days,
+    )
+    return ignored, cleared
+
+
+def build_marts(house: Warehouse, now: Column | None = None) -> None:
+    """Rebuild both marts from the star tables."""
+    now = ny_now() if now is None else now
     locations, dates = house.read("dim_location"), house.read("dim_date")
     readings = marts.weather_readings(house.read("fact_current_weather"), locations, dates)
-    sink_mart(
-        readings, house.path("weather_readings"), ["neighborhood_name", "observation_time_est"],
-        rebalance=not joins_map_side(locations, dates),
-    )
     hours = marts.forecast(house.read("fact_hourly_forecast"), locations, dates)
-    sink_mart(hours, house.path("forecast"), ["neighborhood_name", "forecast_time"])
+    for name, rows, time_col in (
+        ("weather_readings", readings, "observation_time_est"), ("forecast", hours, "forecast_time"),
+    ):
+        sink_mart(rows, house.path(name), ["neighborhood_name", time_col])
+        counted = house.mart(name).agg(F.count(F.lit(1)).alias("n_rows"))
+        _report(house, f"mart_{name}", counted.withColumn("finished_at", now))
+
+
+def run_checks(house: Warehouse, batch_id: str, now: Column | None = None) -> DataFrame:
+    """Check every table of the warehouse; violations are stored, and a row per check returned."""
+    now = ny_now() if now is None else now
+    tables = {name: house.read(name) for name in TABLES}
+    with scratch(house.spark) as stage:
+        failures = stage(quality.violations(tables))
+        sink_batch(failures, house.path("check_failures"), batch_id)
+        report = quality.check_report(tables, failures)
+        report = house.spark.createDataFrame(report.collect(), report.schema)
+    total = report.agg(F.sum("n_failed").alias("n_rows")).withColumn("finished_at", now)
+    _report(house, "checks", total)
+    return report
+
+
+def read_rejects(house: Warehouse, feed: str) -> DataFrame:
+    """Stored rejects of ``current`` or ``forecast`` responses, with their batch."""
+    return read_batches(house.spark, house.path(f"rejects_{feed}"), REJECTS)
+
+
+def read_failures(house: Warehouse) -> DataFrame:
+    """Stored rows that failed a check, with their batch."""
+    return read_batches(house.spark, house.path("check_failures"), quality.FAILURES)
+
+
+REJECTS = T.StructType([
+    T.StructField("neighborhood_name", T.StringType()),
+    T.StructField("latitude", T.DecimalType(9, 6)), T.StructField("longitude", T.DecimalType(9, 6)),
+    T.StructField("run_id", T.LongType()), T.StructField("arrival_seq", T.LongType()),
+    T.StructField("reason", T.StringType()),
+])

@@ -72,20 +72,24 @@ def digest_bucket(*keys: str) -> Column:
 def split_merge(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], keep: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """``(kept, incoming)`` of an upsert.
+    """``(updated, fresh)`` of an upsert by a ``batch`` that is unique on ``keys``.
 
-    ``kept`` are the target rows no batch row replaces. ``incoming`` are the
-    batch rows with the ``keep`` columns of the row they replace, NULL for a
-    new key. ``batch`` must be unique on ``keys``.
-
-    Every join has the batch, or rows it picked, on the smaller side, so
-    against a small batch the target is read but not shuffled.
+    ``updated`` are the target rows, with the values of the batch row that
+    replaces them, NULLs included, but for the ``keep`` columns; they come from
+    one pass over the target, which against a small batch is not shuffled.
+    ``fresh`` are the batch rows with new keys, without the ``keep`` columns.
     """
     keys, keep = list(keys), list(keep)
-    batch_keys = batch.select(*keys)
-    kept = target.join(batch_keys, keys, "left_anti")
-    carried = target.select(*keys, *keep).join(batch_keys, keys, "left_semi")
-    return kept, batch.drop(*keep).join(carried, keys, "left")
+    moving = [c for c in target.columns if c not in keys and c not in keep]
+    replacing = batch.select(*keys, F.struct(*moving).alias("_new"))
+    joined = target.join(replacing, keys, "left")
+    taken = F.col("_new").isNotNull()
+    updated = joined.select(*[
+        F.when(taken, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in moving else F.col(c)
+        for c in target.columns
+    ])
+    fresh = batch.select(*keys, *moving).join(target.select(*keys), keys, "left_anti")
+    return updated, fresh
 
 
 def merge_frames(
@@ -96,28 +100,44 @@ def merge_frames(
     arrival: Sequence[str],
     now: Column,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    gone: DataFrame | None = None,
 ) -> DataFrame:
     """``target`` after upserting a fact ``batch``; ``keys`` end with the time.
 
     The incoming row replaces everything, NULLs included, but the id and
-    ``created_at`` of a row that is already there. ``stage`` may write out the
-    two batch-sized intermediates, which are used more than once.
+    ``created_at`` of a row that is already there. Of the places in ``gone``
+    (the first key) target rows without an incoming row are dropped. The target
+    is passed over twice: whole for the rows that stay, and narrow, by keys and
+    id, for the new keys and the highest id of each day; only keys are numbered.
+    ``stage`` may write out the intermediates, which are used more than once.
     """
-    columns = target.columns
-    unique = dedupe_last_wins(batch, keys, arrival).select(
+    keys, columns = list(keys), target.columns
+    unique = stage(dedupe_last_wins(batch, keys, arrival).select(
         *[c for c in columns if c not in (id_col, "created_at")]
-    )
-    kept, incoming = split_merge(target, stage(unique), keys, [id_col, "created_at"])
-    incoming = stage(incoming)
-    matched = incoming.filter(F.col(id_col).isNotNull())
-    fresh = incoming.filter(F.col(id_col).isNull()).withColumn("created_at", now)
-    added = assign_fact_keys(fresh, target, keys, id_col)
-    return kept.unionByName(matched).unionByName(added).select(*columns)
+    ))
+    narrow = stage(target.select(*keys, id_col))
+    updated, _ = split_merge(target, unique, keys, [id_col, "created_at"])
+    if gone is not None:
+        here, left = unique.select(*keys, F.lit(True).alias("_here")), gone.select(keys[0], F.lit(True).alias("_gone"))
+        updated = updated.join(left, keys[0], "left").join(here, keys, "left")
+        updated = updated.filter("_gone is null or _here").select(*columns)
+    new = unique.select(*keys).join(narrow.select(*keys), keys, "left_anti")
+    numbered = stage(assign_fact_keys(new, narrow, keys, id_col))
+    added = unique.join(numbered, keys).withColumn("created_at", now)
+    return updated.unionByName(added.select(*columns)).select(*columns)
 
 
 # A fact id is the day number of its row in the high bits and a running number
 # of that day below, so new ids need only the days being written, not the table.
+# Days count from the first of the calendar, so that every id is positive.
 DAY_BITS = 40
+FIRST_DAY = "0001-01-01"
+
+
+def day_of_id(id_col: str) -> Column:
+    """The day that a fact id belongs to."""
+    number = F.shiftright(F.col(id_col), DAY_BITS).cast("int")
+    return F.date_add(F.lit(FIRST_DAY).cast("date"), number)
 
 
 def assign_fact_keys(
@@ -126,14 +146,15 @@ def assign_fact_keys(
     """Ids for new fact rows, counting on from the highest id of their day."""
     day = F.to_date(keys[-1])
     highest = target.groupBy(day.alias("_day")).agg(F.max(id_col).alias("_top"))
-    number = F.datediff("_day", F.lit("1970-01-01").cast("date")).cast("bigint")
+    number = F.datediff("_day", F.lit(FIRST_DAY).cast("date")).cast("bigint")
+    first = F.shiftleft(number, DAY_BITS)
     return assign_keys(
         fresh.withColumn("_day", day),
         id_col,
         "bigint",
         order=[digest(*keys), *[F.col(k) for k in keys]],
         bucket=digest_bucket(*keys),
-        start=F.greatest(F.shiftleft(number, DAY_BITS), F.coalesce("_top", F.lit(0))),
+        start=F.greatest(first, F.coalesce("_top", first)),
         scope=["_day"],
         bounds=highest,
     ).drop("_day")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylattice.functions import cardinal_16, last_updated_text, temp_color
-from skylattice.session import materialize
+from skylattice.functions import (
+    cardinal_16, display_group, hpa_to_inhg, last_updated_text, m_to_miles, temp_color,
+)
 
 # Columns and labels of the two pages.
 LATEST = [
@@ -73,17 +76,40 @@ def series_start(forecast: DataFrame) -> DataFrame:
     return forecast.groupBy("neighborhood_name").agg(F.min("forecast_time").alias("series_start"))
 
 
-def filter_horizon(forecast: DataFrame, days: int, starts: DataFrame | None = None) -> DataFrame:
+def current_card(latest: DataFrame) -> DataFrame:
+    """What the card of current conditions shows of every place.
+
+    Readings hold no visibility or dew point, so both are NULL unless ``latest``
+    has a column of that name.
+    """
+    def given(name: str):
+        return F.col(name) if name in latest.columns else F.lit(None).cast("decimal(8,2)")
+
+    return latest.select(
+        "neighborhood_name",
+        display_group(F.col("weather_code")).alias("display_group"),
+        "temp_fahrenheit", "weather_condition", "feels_like_fahrenheit",
+        "wind_speed_mph", cardinal_16(F.col("wind_direction_degrees")).alias("wind_direction"),
+        "humidity_percent", hpa_to_inhg(F.col("pressure_sea_level_hpa")).alias("pressure_in"),
+        "cloud_cover_percent", m_to_miles(given("visibility")).alias("visibility_mi"),
+        given("dew_point_fahrenheit").alias("dew_point_fahrenheit"),
+    )
+
+
+def filter_horizon(
+    forecast: DataFrame, days: int,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Rows within ``days`` days of their neighbourhood's first hour, end excluded.
 
     The starts are aggregated and joined back rather than taken over a window,
-    which would sort each neighbourhood whole in one task. They are written out
-    first so that the join is planned from their true size: a map-side join as
-    long as they are small, a shuffled one that splits hot names beyond that.
+    which would sort each neighbourhood whole in one task. Nothing runs before
+    the result is asked for, unless the caller's ``stage`` writes the starts out,
+    from whose true size the join is then planned.
     """
     if days not in HORIZONS:
         raise ValueError(f"days must be in {HORIZONS.start}..{HORIZONS.stop - 1}")
-    starts = materialize(series_start(forecast)) if starts is None else starts
+    starts = stage(series_start(forecast))
     cutoff = F.col("series_start") + F.make_dt_interval(days=F.lit(days))
     joined = forecast.join(starts, "neighborhood_name").filter(F.col("forecast_time") < cutoff)
     return joined.select(*forecast.columns)

@@ -7,8 +7,9 @@ and splits hot keys; nothing here forces either.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylattice.functions import (
     c_to_f, cardinal_8, comfort_level, is_freezing, is_precipitating, is_snowing, is_windy,
@@ -18,7 +19,7 @@ from skylattice.functions import (
 from skylattice.plans.staging import (
     stg_current_weather, stg_dates, stg_hourly_forecast, stg_locations,
 )
-from skylattice.schemas import FORECAST, WEATHER_READINGS
+from skylattice.schemas import FORECAST, TABLES, WEATHER_READINGS
 
 
 def _star_join(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -92,6 +93,16 @@ def forecast(
     return int_forecast_add_categories(dated, unit).select(*FORECAST)
 
 
+def mart_schema(spark: SparkSession, name: str) -> T.StructType:
+    """Columns and types of a mart; nothing is run for it."""
+    build, fact = {
+        "weather_readings": (weather_readings, "fact_current_weather"),
+        "forecast": (forecast, "fact_hourly_forecast"),
+    }[name]
+    empty = (spark.createDataFrame([], TABLES[t]) for t in (fact, "dim_location", "dim_date"))
+    return build(*empty).schema
+
+
 def view_layer(
     current: DataFrame, hourly: DataFrame, locations: DataFrame, dates: DataFrame, prefix: str = ""
 ) -> list[str]:

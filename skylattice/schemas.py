@@ -131,6 +131,10 @@ NOT_NULL = {
     "fact_current_weather": ["weather_id", "location_id", "date_id", "observation_time"],
     "fact_hourly_forecast": ["forecast_id", "location_id", "date_id", "forecast_time"],
 }
+FOREIGN_KEYS = {
+    name: {"location_id": "dim_location", "date_id": "dim_date"}
+    for name in ("fact_current_weather", "fact_hourly_forecast", "fact_weather_history")
+}
 NAME_LIMIT = 100
 DEFAULT_TIMEZONE = "America/New_York"
 

@@ -11,7 +11,7 @@ from skylattice.schemas import (
 )
 from workload import landing
 from workload.queries import NOW
-from workload.tables import CTE, LINE_ARRIVAL
+from workload.tables import CTE, LINE_ARRIVAL, WITHIN_A_MONTH
 
 # Columns that are decimals on both sides and leave as doubles.
 DECIMALS = {
@@ -155,16 +155,20 @@ def categorize(source: str) -> str:
         FROM {source}"""
 
 
-def fact_ids(time_col: str, top: str = "0") -> str:
-    """Day number in the high bits, running number of the day below."""
+def fact_ids(time_col: str) -> str:
+    """Day number of the calendar in the high bits, running number of the day below."""
     return f"""
-        greatest(CAST(date_diff('day', DATE '1970-01-01', CAST({time_col} AS DATE)) AS BIGINT)
-                     * 1099511627776, {top})
+        CAST(date_diff('day', DATE '0001-01-01', CAST({time_col} AS DATE)) AS BIGINT) * 1099511627776
         + row_number() OVER (PARTITION BY CAST({time_col} AS DATE)
               ORDER BY md5(concat_ws('|', CAST(location_id AS VARCHAR),
                                      CAST({time_col} AS VARCHAR))))"""
 
 
+def id_check(time_col: str) -> str:
+    """What must hold of the ids, whatever they are."""
+    return f"CAST({time_col} AS DATE) AS id_day, TRUE AS id_positive, CAST(1 AS BIGINT) AS n_same_id"
+
+
 def later(base: str, time_col: str, odd: str) -> str:
     """The second batch: odd rows a day later, two metrics exchanged."""
     moved = f"{time_col} + INTERVAL '1' DAY * ({odd} % 2)"
@@ -192,6 +196,33 @@ def merged(target: str, batch: str, id_col: str, time_col: str, metrics) -> str:
             LEFT JOIN {target} AS t ON {on} WHERE t.location_id IS NULL)"""
 
 
+def forecast_hours(source: str) -> str:
+    return f"""
+        SELECT * RENAME (temperature_2m AS temp_celsius_2m,
+                         apparent_temperature AS feels_like_celsius,
+                         temperature_80m AS temp_celcius_80m, temperature_120m AS temp_celcius_120m,
+                         temperature_180m AS temp_celcius_180m),
+               {in_f('temperature_2m')} AS temp_fahrenheit_2m,
+               {in_f('apparent_temperature')} AS feels_like_fahrenheit,
+               {in_f('temperature_80m')} AS temp_fahrenheit_80m,
+               {in_f('temperature_120m')} AS temp_fahrenheit_120m,
+               {in_f('temperature_180m')} AS temp_fahrenheit_180m,
+               {FEELS.format('apparent_temperature')} AS temperature_category,
+               {WIND_FORECAST} AS wind_category, {CARDINAL_8} AS wind_direction_cardinal,
+               {VISIBILITY} AS visibility_category
+        FROM {source}"""
+
+
+# How the forecast's columns are called once they are published.
+PUBLISHED = {"temperature_2m": "temp_celsius_2m", "apparent_temperature": "feels_like_celsius",
+             "temperature_80m": "temp_celcius_80m", "temperature_120m": "temp_celcius_120m",
+             "temperature_180m": "temp_celcius_180m"}
+VIEW_HOURS = [PUBLISHED.get(c, c) for c in [*FORECAST_ROW, *PLACE_COLUMNS, *DATE_DETAILS]] + [
+    "temp_fahrenheit_2m", "feels_like_fahrenheit", "temp_fahrenheit_80m", "temp_fahrenheit_120m",
+    "temp_fahrenheit_180m", "temperature_category", "wind_category", "wind_direction_cardinal",
+    "visibility_category",
+]
+
 NAMED = {
     **CTE,
     "stg_current": f"""
@@ -216,20 +247,10 @@ NAMED = {
     "fc_place": star("fact_forecast", FORECAST_ROW, "forecast_places", PLACE_COLUMNS, "location_id"),
     "fc_day": star(
         "fc_place", [*FORECAST_ROW, *PLACE_COLUMNS], "forecast_dates", DATE_DETAILS, "date_id"),
-    "hours": f"""
-        SELECT * RENAME (temperature_2m AS temp_celsius_2m,
-                         apparent_temperature AS feels_like_celsius,
-                         temperature_80m AS temp_celcius_80m, temperature_120m AS temp_celcius_120m,
-                         temperature_180m AS temp_celcius_180m),
-               {in_f('temperature_2m')} AS temp_fahrenheit_2m,
-               {in_f('apparent_temperature')} AS feels_like_fahrenheit,
-               {in_f('temperature_80m')} AS temp_fahrenheit_80m,
-               {in_f('temperature_120m')} AS temp_fahrenheit_120m,
-               {in_f('temperature_180m')} AS temp_fahrenheit_180m,
-               {FEELS.format('apparent_temperature')} AS temperature_category,
-               {WIND_FORECAST} AS wind_category, {CARDINAL_8} AS wind_direction_cardinal,
-               {VISIBILITY} AS visibility_category
-        FROM fc_day""",
+    "hours": forecast_hours("fc_day"),
+    "view_place": star("fact_forecast", FORECAST_ROW, "places", PLACE_COLUMNS, "location_id"),
+    "view_day": star("view_place", [*FORECAST_ROW, *PLACE_COLUMNS], "dates", DATE_DETAILS, "date_id"),
+    "view_hours": forecast_hours("view_day"),
     "current_target": f"""
         SELECT event_id AS weather_id, *, observation_time + INTERVAL '5' MINUTE AS created_at
         FROM ({last_wins('batch_current', 'location_id, observation_time', ['event_id'])})""",
@@ -247,8 +268,81 @@ NAMED = {
     "landed_current_2": landing.current_sql(2),
     "landed_hourly": landing.hourly_sql(),
     "landed_hourly_2": landing.hourly_sql(2),
+    # The five tables with faults in them.
+    "bad_places": """SELECT * REPLACE (CASE WHEN location_id % 70 > 0 THEN neighborhood_name END AS neighborhood_name)
+        FROM (SELECT * FROM places UNION ALL SELECT * FROM places WHERE location_id % 50 = 0)""",
+    "bad_dates": "SELECT * REPLACE (CASE WHEN day <> 13 THEN day_name END AS day_name) FROM dates",
+    "bad_current": """SELECT * REPLACE (CASE WHEN location_id % 41 > 0 THEN location_id END AS location_id)
+        FROM fact_current""",
+    "bad_forecast": f"""SELECT * REPLACE (CASE WHEN location_id % 37 = 0 THEN -location_id ELSE location_id END
+        AS location_id, {WITHIN_A_MONTH.format(time='forecast_time', kind='TIMESTAMP')} AS forecast_time)
+        FROM fact_forecast""",
+    "bad_history": """SELECT * REPLACE (CASE WHEN location_id % 37 = 0 THEN -location_id ELSE location_id END
+        AS location_id) FROM fact_history""",
 }
 
+# The constraints declared of each table.
+BAD = {"dim_location": "bad_places", "dim_date": "bad_dates", "fact_current_weather": "bad_current",
+       "fact_hourly_forecast": "bad_forecast", "fact_weather_history": "bad_history"}
+UNIQUE = {"dim_location": "latitude, longitude", "dim_date": "date",
+          "fact_current_weather": "location_id, observation_time",
+          "fact_hourly_forecast": "location_id, forecast_time"}
+REQUIRED = {
+    "dim_location": ["location_id", "neighborhood_name", "latitude", "longitude"],
+    "dim_date": ["date_id", "date", "year", "month", "day", "day_of_week", "day_name",
+                 "week_of_year", "quarter", "is_weekend"],
+    "fact_current_weather": ["weather_id", "location_id", "date_id", "observation_time"],
+    "fact_hourly_forecast": ["forecast_id", "location_id", "date_id", "forecast_time"],
+}
+REFERS = {"location_id": "bad_places", "date_id": "bad_dates"}
+
+
+def checks() -> str:
+    """A row for every constraint: violations, rows concerned, violations stored."""
+    parts = []
+
+    def add(table: str, check: str, column: str, failed: str) -> None:
+        parts.append(f"""SELECT '{table}' AS table_name, '{check}' AS check_name, '{column}' AS column_name,
+            count(*) AS n_failed, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, count(*) AS n_stored FROM ({failed})""")
+
+    for table, source in BAD.items():
+        add(table, "schema", "", f"SELECT 1 AS n FROM {source} WHERE FALSE")
+        if table in UNIQUE:
+            keys = UNIQUE[table]
+            add(table, "unique", keys, f"SELECT count(*) AS n FROM {source} GROUP BY {keys} HAVING count(*) > 1")
+        for column in REQUIRED.get(table, []):
+            add(table, "not_null", column, f"SELECT * FROM (SELECT count(*) - count({column}) AS n FROM {source}) WHERE n > 0")
+        for column, dim in REFERS.items():
+            if table.startswith("fact"):
+                add(table, "foreign_key", column, f"""SELECT count(*) AS n FROM {source} WHERE {column} IS NOT NULL
+                    AND {column} NOT IN (SELECT {column} FROM {dim} WHERE {column} IS NOT NULL) GROUP BY {column}""")
+    return " UNION ALL ".join(parts)
+
+
+def scanned(label: str, sources: dict[str, tuple[str, object]]) -> str:
+    """Rows and values of each named source."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS {label}, count(*) AS n_rows, "
+        f"CAST({' + '.join(f'count({c})' for c in columns)} AS BIGINT) AS n_values FROM {source}"
+        for name, (source, columns) in sources.items()
+    )
+
+
+# A response of a run, its place's last by number; of the plain feed the odd orders' comes last.
+def last_response(rows: str, order: str) -> str:
+    return f"""SELECT * FROM {rows} AS h WHERE reason IS NULL AND NOT EXISTS (
+        SELECT 1 FROM {rows} AS l WHERE l.reason IS NULL AND l.hour_pos = 0
+            AND l.latitude = h.latitude AND l.longitude = h.longitude AND l.{order} > h.{order})"""
+
+
+def report_row(kind: str, **given: str) -> str:
+    numbers = ["total_responses", "successful_loads", "failed_loads", "ignored_loads",
+               "total_forecasts", "distinct_forecasts", "rows_cleared", "n_rows"]
+    picked = [f"CAST({given.get(c, 'NULL')} AS BIGINT) AS {c}" for c in numbers]
+    rate = f"CAST({given.get('success_rate', 'NULL')} AS DOUBLE) AS success_rate"
+    source = given.get("source", "(SELECT 1)")
+    return f"SELECT '{kind}' AS kind, {', '.join(picked)}, {rate}, TIMESTAMP '{NOW}' AS finished_at FROM {source}"
+
 
 def with_named(body: str) -> str:
     """Put the named subqueries a text uses in front of it, in order."""
@@ -277,6 +371,7 @@ FLAT_CURRENT = ["neighborhood_name", "latitude", "longitude", "run_id", "arrival
                 "observation_time", *CURRENT_METRICS, "reason"]
 FLAT_HOURLY = ["neighborhood_name", "latitude", "longitude", "run_id", "arrival_seq", "hour_pos",
                "forecast_time", *FORECAST_METRICS, "reason"]
+ID_CHECK = ["id_day", "id_positive", "n_same_id"]
 REJECTS = ["neighborhood_name", "latitude", "longitude", "run_id", "arrival_seq", "reason"]
 FEATURES = """
     SELECT CASE WHEN c_custkey % 10 > 0 THEN c_name ELSE 'Unknown' END AS hood,
@@ -307,9 +402,67 @@ BODIES: dict[str, str] = {
     "src_current_raw": out(FLAT_CURRENT, "landed_current"),
     "src_hourly_raw": out(FLAT_HOURLY, "landed_hourly"),
     "src_features": FEATURES,
-    "src_star": out(WEATHER_READINGS, "readings"),
+    "src_star": scanned("table_name", {
+        "dim_location": ("places", DIM_LOCATION.names), "dim_date": ("dates", DIM_DATE.names),
+        "fact_current_weather": ("fact_current", FACT_CURRENT.names),
+        "fact_hourly_forecast": ("fact_forecast", FACT_FORECAST.names),
+        "fact_weather_history": ("fact_history", FACT_HISTORY.names)}),
     "sink_mart": out(WEATHER_READINGS, "readings"),
-    "view_layer": out(WEATHER_READINGS, "readings"),
+    "view_layer": scanned("view_name", {f"skylattice_{name}": source for name, source in {
+        "stg_current_weather": ("stg_current", STG_CURRENT),
+        "stg_hourly_forecast": ("fact_forecast", FACT_FORECAST.names),
+        "stg_locations": ("places", DIM_LOCATION.names), "stg_dates": ("dates", DIM_DATE.names),
+        "int_weather_joined_locations": ("cur_place", [*STG_CURRENT, *PLACE_COLUMNS]),
+        "int_weather_joined_locations_and_dates": ("cur_day", [*STG_CURRENT, *PLACE_COLUMNS, *DATE_DETAILS]),
+        "int_weather_categorized": ("readings", [*STG_CURRENT, *PLACE_COLUMNS, *DATE_DETAILS, *CATEGORIES]),
+        "int_forecast_joined_locations": ("view_place", [*FORECAST_ROW, *PLACE_COLUMNS]),
+        "int_forecast_joined_locations_and_dates": ("view_day", [*FORECAST_ROW, *PLACE_COLUMNS, *DATE_DETAILS]),
+        "int_forecast_add_categories": ("view_hours", VIEW_HOURS),
+        "weather_readings": ("readings", WEATHER_READINGS), "forecast": ("view_hours", FORECAST)}.items()}),
+    "sink_rejects_hourly": out(REJECTS, "landed_hourly WHERE reason IS NOT NULL"),
+    "current_card": f"""SELECT neighborhood_name, {DISPLAY} AS display_group,
+        CAST(temp_fahrenheit AS DOUBLE) AS temp_fahrenheit, weather_condition,
+        CAST(feels_like_fahrenheit AS DOUBLE) AS feels_like_fahrenheit,
+        CAST(wind_speed_mph AS DOUBLE) AS wind_speed_mph, {CARDINAL_16} AS wind_direction,
+        CAST(humidity_percent AS DOUBLE) AS humidity_percent,
+        CAST(round(pressure_sea_level_hpa * 0.02953, 2) AS DOUBLE) AS pressure_in,
+        CAST(cloud_cover_percent AS DOUBLE) AS cloud_cover_percent, CAST(NULL AS DOUBLE) AS visibility_mi,
+        CAST(NULL AS DOUBLE) AS dew_point_fahrenheit
+        FROM ({latest('readings', LATEST)})""",
+    "assign_fact_keys": f"""SELECT location_id, observation_time, {id_check('observation_time')} FROM (
+        SELECT DISTINCT CAST(o_custkey AS INT) AS location_id,
+               CAST(CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE)
+                    ELSE CAST(CAST(o_orderdate AS DATE) - INTERVAL '480' MONTH AS DATE) END AS TIMESTAMP)
+                   AS observation_time FROM orders)""",
+    "run_checks": checks(),
+    "load_summary_hourly": f"""
+        SELECT count(*) FILTER (first) AS total_responses,
+               count(*) FILTER (first AND reason IS NULL AND run_id = 2) AS successful_loads,
+               count(*) FILTER (first AND reason IS NOT NULL) AS failed_loads,
+               count(*) FILTER (first AND reason IS NULL AND run_id = 1) AS ignored_loads,
+               count(*) FILTER (reason IS NULL AND run_id = 2) AS total_forecasts,
+               count(DISTINCT CASE WHEN reason IS NULL AND run_id = 2
+                   THEN (latitude, longitude, forecast_time) END) AS distinct_forecasts,
+               round(count(*) FILTER (first AND reason IS NULL AND run_id = 2)
+                   / count(*) FILTER (first) * 100, 1) AS success_rate,
+               CAST(0 AS BIGINT) AS rows_cleared, TIMESTAMP '{NOW}' AS finished_at
+        FROM (SELECT *, coalesce(hour_pos, 0) = 0 AS first
+              FROM (SELECT * FROM landed_hourly UNION ALL SELECT * FROM landed_hourly_2))""",
+    "run_report": " UNION ALL ".join([
+        report_row("load_current", total_responses="count(*)", successful_loads="count(*) FILTER (reason IS NULL)",
+                   failed_loads="count(reason)", success_rate="round(count(*) FILTER (reason IS NULL) / count(*) * 100, 1)",
+                   source="landed_current"),
+        report_row("load_forecast", total_responses="count(*) FILTER (coalesce(hour_pos, 0) = 0)",
+                   successful_loads="count(*) FILTER (hour_pos = 0)", failed_loads="count(reason)", ignored_loads="0",
+                   total_forecasts="count(hour_pos)",
+                   distinct_forecasts="count(DISTINCT CASE WHEN reason IS NULL THEN (latitude, longitude, forecast_time) END)",
+                   success_rate="round(count(*) FILTER (hour_pos = 0) / count(*) FILTER (coalesce(hour_pos, 0) = 0) * 100, 1)",
+                   rows_cleared="0", source="landed_hourly"),
+        report_row("mart_weather_readings", n_rows="count(*)", source="""(SELECT DISTINCT latitude, longitude, observation_time
+                   FROM landed_current WHERE reason IS NULL)"""),
+        report_row("mart_forecast", n_rows="count(*)", source=f"({last_response('landed_hourly', 'arrival_seq')})"),
+        report_row("checks", n_rows="0"),
+    ]),
     "sink_rejects": out(REJECTS, "landed_current WHERE reason IS NOT NULL"),
     # loads
     "upsert_location": out(DIM_LOCATION.names, f"""(
@@ -419,17 +572,19 @@ BODIES: dict[str, str] = {
             AS DATE) AS date_day FROM orders""",
     # streaming
     "stream_current": out(
-        ["neighborhood_name", "observation_time", *CURRENT_METRICS, "created_at"], "(" + f"""
-        SELECT *, TIMESTAMP '{NOW}' AS created_at FROM ({last_wins(
+        ["neighborhood_name", "observation_time", *CURRENT_METRICS, "created_at", *ID_CHECK], "(" + f"""
+        SELECT *, TIMESTAMP '{NOW}' AS created_at, {id_check('observation_time')} FROM ({last_wins(
             '(SELECT * FROM landed_current UNION ALL SELECT * FROM landed_current_2)',
             'reason, neighborhood_name, observation_time', ['run_id', 'arrival_seq'])})
         WHERE reason IS NULL)"""),
     "stream_forecast": out(
-        ["neighborhood_name", "forecast_time", *FORECAST_METRICS, "created_at"], "(" + f"""
-        SELECT *, TIMESTAMP '{NOW}' AS created_at FROM ({last_wins(
-            'landed_hourly_2', 'reason, neighborhood_name, forecast_time',
-            ['arrival_seq', 'hour_pos'])})
-        WHERE reason IS NULL)"""),
+        ["neighborhood_name", "forecast_time", *FORECAST_METRICS, "created_at", *ID_CHECK], f"""(
+        SELECT *, TIMESTAMP '{NOW}' AS created_at, {id_check('forecast_time')}
+        FROM ({last_response('landed_hourly_2', 'arrival_seq')}))"""),
+    "stream_forecast_plain": out(
+        ["neighborhood_name", "forecast_time", *FORECAST_METRICS, "created_at", *ID_CHECK], f"""(
+        SELECT *, TIMESTAMP '{NOW}' AS created_at, {id_check('forecast_time')}
+        FROM ({last_response('landed_hourly', 'half')}))"""),
     # column functions
     "c_to_f": on_current("temp_fahrenheit", "temp_fahrenheit"),
     "mps_to_mph": on_current("wind_speed_mph", "wind_speed_mph"),

@@ -6,6 +6,7 @@ Decimals leave as doubles so that both engines print them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,13 +86,13 @@ def src_locations(spark, sf):
 @query
 def src_current_raw(spark, sf):
     landed = landing.land(landing.landed_current(spark, sf))
-    return flatten_current(read_current(spark, landed))
+    return flatten_current(read_current(spark, landed)).drop("arrival")
 
 
 @query
 def src_hourly_raw(spark, sf):
     landed = landing.land(landing.landed_hourly(spark, sf))
-    return flatten_hourly(read_hourly(spark, landed))
+    return flatten_hourly(read_hourly(spark, landed)).drop("arrival")
 
 
 @query
@@ -129,39 +130,56 @@ def _star(spark, sf) -> dict[str, DataFrame]:
     }
 
 
+def _scanned(frames: dict[str, DataFrame], label: str) -> DataFrame:
+    """Per frame its rows and how many values they hold, so that every column is read."""
+    parts = []
+    for name, df in frames.items():
+        values = sum((F.count(F.col(c)) for c in df.columns), F.lit(0))
+        counted = df.agg(F.count(F.lit(1)).alias("n_rows"), values.alias("n_values"))
+        parts.append(counted.select(F.lit(name).alias(label), "n_rows", F.col("n_values").cast("long").alias("n_values")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def src_star(spark, sf):
-    """Scans the five tables under contract and joins the current star."""
-    star = _star(spark, sf)
-    return marts.weather_readings(
-        star["fact_current_weather"], star["dim_location"], star["dim_date"]
-    )
+    """Scans the five tables, whole, under contract."""
+    return _scanned(_star(spark, sf), "table_name")
 
 
 @query
 def sink_mart(spark, sf):
     path = f"{scratch_dir(spark)}/weather_readings"
-    readings = _readings(spark, sf)
-    storage.sink_mart(readings, path, ["neighborhood_name", "observation_time_est"])
-    return spark.read.schema(readings.schema).parquet(path)
+    storage.sink_mart(_readings(spark, sf), path, ["neighborhood_name", "observation_time_est"])
+    return storage.read_mart(spark, path, marts.mart_schema(spark, "weather_readings"))
 
 
 @query
 def view_layer(spark, sf):
-    marts.view_layer(
+    """Every view, read whole by its name."""
+    views = marts.view_layer(
         t.fact_current(spark, sf), t.fact_forecast(spark, sf), t.locations(spark, sf),
         t.dates(spark, sf), prefix="skylattice_",
     )
-    return spark.sql("SELECT * FROM skylattice_weather_readings")
+    return _scanned({v: spark.table(v) for v in views}, "view_name")
+
+
+def _stored_rejects(spark, rejects: DataFrame) -> DataFrame:
+    path = f"{scratch_dir(spark)}/rejects"
+    for _ in range(2):  # a batch that is run again does not repeat them
+        storage.sink_batch(rejects, path, "batch")
+    return storage.read_batches(spark, path, loads.REJECTS).select(*rejects.columns)
 
 
 @query
 def sink_rejects(spark, sf):
-    path = f"{scratch_dir(spark)}/rejects"
     landed = landing.land(landing.landed_current(spark, sf))
-    _, rejects = route_rejects(flatten_current(read_current(spark, landed)))
-    storage.sink_rejects(rejects, path, "batch")
-    return spark.read.parquet(path).select(*rejects.columns)
+    return _stored_rejects(spark, route_rejects(flatten_current(read_current(spark, landed)))[1])
+
+
+@query
+def sink_rejects_hourly(spark, sf):
+    landed = landing.land(landing.landed_hourly(spark, sf))
+    return _stored_rejects(spark, route_rejects(flatten_hourly(read_hourly(spark, landed)))[1])
 
 
 # --- loads -----------------------------------------------------------------
@@ -177,7 +195,7 @@ def upsert_location(spark, sf):
         F.concat_ws(" ", "neighborhood_name", "event_type").alias("neighborhood_name"),
         moved.cast("decimal(9,6)").alias("latitude"), "longitude", "event_id",
     )
-    return dims.upsert_location(places, batch, ["event_id"], _now())
+    return dims.upsert_location(places, batch, ["event_id"], _now(), materialize)
 
 
 @query
@@ -225,12 +243,13 @@ def upsert_forecast(spark, sf):
 @query
 def replace_forecast(spark, sf):
     def run(df, number):
-        return df.withColumn("run_id", F.lit(number).cast("bigint"))
+        one = F.struct(F.lit(number).cast("bigint").alias("seq"))
+        return df.withColumn("arrival", one).withColumn("run_id", F.lit(number).cast("bigint"))
 
     return loads.replace_forecast(
         run(t.target_forecast(spark, sf), 1), run(_forecast_batch(spark, sf), 2), _now(),
         t.LINE_ARRIVAL, materialize,
-    )
+    ).drop("arrival")
 
 
 @query
@@ -243,12 +262,109 @@ def assign_keys(spark, sf):
     )
 
 
+@query
+def assign_fact_keys(spark, sf):
+    """Ids of a row per place and day, before and after 1970: the day each reads back as, and how many share it."""
+    day = F.to_date("o_orderdate")
+    placed = t.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("int").alias("location_id"),
+        F.when(F.col("o_orderkey") % 2 == 0, day).otherwise(F.add_months(day, -480))
+        .cast("timestamp_ntz").alias("observation_time"),
+    ).distinct()
+    stored = placed.filter("location_id % 3 = 0")
+    stored = materialize(merge.assign_fact_keys(
+        stored, stored.limit(0).withColumn("weather_id", F.lit(0).cast("bigint")),
+        ["location_id", "observation_time"], "weather_id",
+    ))
+    more = merge.assign_fact_keys(
+        placed.filter("location_id % 3 > 0"), stored, ["location_id", "observation_time"], "weather_id"
+    )
+    return _with_id_check(stored.unionByName(more), "weather_id").drop("weather_id")
+
+
+def _with_id_check(fact: DataFrame, id_col: str) -> DataFrame:
+    """What must hold of fact ids: positive, of the row's day, one row each."""
+    fact = materialize(fact)
+    shared = fact.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_same_id"))
+    checked = fact.join(shared, id_col)
+    return checked.withColumns({
+        "id_day": merge.day_of_id(id_col), "id_positive": F.col(id_col) > 0,
+    })
+
+
 @query
 def load_summary(spark, sf):
     landed = landing.land(landing.landed_current(spark, sf))
     return loads.load_summary(flatten_current(read_current(spark, landed)), _now())
 
 
+@query
+def load_summary_hourly(spark, sf):
+    """Both runs landed at once: the older one's responses are told apart."""
+    root = scratch_dir(spark)
+    for run in (1, 2):
+        landing.land(landing.landed_hourly(spark, sf, run), f"{root}/landing")
+    house = loads.Warehouse(spark, f"{root}/house")
+    return loads.load_forecast(house, read_hourly(spark, f"{root}/landing"), "1", _now())
+
+
+def _house(spark, sf) -> loads.Warehouse:
+    """The star as a stored warehouse, with faults in it."""
+    house = loads.Warehouse(spark, f"{scratch_dir(spark)}/house")
+    places, days = t.locations(spark, sf), t.dates(spark, sf)
+    named = F.when(F.col("location_id") % 70 > 0, F.col("neighborhood_name"))
+    places = places.unionByName(places.filter("location_id % 50 = 0")).withColumn("neighborhood_name", named)
+    days = days.withColumn("day_name", F.when(F.col("day") != 13, F.col("day_name")))
+    lost = F.when(F.col("location_id") % 41 > 0, F.col("location_id"))
+    moved = F.when(F.col("location_id") % 37 == 0, -F.col("location_id")).otherwise(F.col("location_id"))
+
+    def arrived(df, time_col):
+        return df.withColumns({
+            "arrival": F.lit(None).cast(loads.ARRIVAL), "run_id": F.lit(1).cast("bigint"),
+            "part_date": F.to_date(time_col),
+        })
+
+    tables = {
+        "dim_location": places,
+        "dim_date": days,
+        "fact_current_weather": t.fact_current(spark, sf).withColumn("location_id", lost)
+        .withColumn("part_date", F.to_date("observation_time")),
+        "fact_hourly_forecast": arrived(
+            t.fact_forecast(spark, sf).withColumns({"location_id": moved, "forecast_time": F.expr(t.WITHIN_A_MONTH.format(time="forecast_time", kind="TIMESTAMP_NTZ"))}),
+            "forecast_time"),
+        "fact_weather_history": t.fact_history(spark, sf).withColumn("location_id", moved),
+    }
+    for name, df in tables.items():
+        schema = loads.STORED[name]
+        storage.replace_table(df.select(*schema.names), house.path(name), loads.PARTITIONS.get(name, ()))
+    return house
+
+
+@query
+def run_checks(spark, sf):
+    """Every declared check over the five tables, beside the violations read back from the store."""
+    house = _house(spark, sf)
+    report = loads.run_checks(house, "checks", _now())
+    stored = loads.read_failures(house).withColumn(
+        "column_name", F.when(F.col("check_name") == "schema", "").otherwise(F.col("column_name"))
+    ).groupBy("table_name", "check_name", "column_name").agg(F.count(F.lit(1)).alias("n_stored"))
+    return report.join(stored, ["table_name", "check_name", "column_name"], "left").na.fill(0, ["n_stored"])
+
+
+@query
+def run_report(spark, sf):
+    """A current load, a forecast load, both marts and the checks, then the report on them."""
+    root = scratch_dir(spark)
+    house = loads.Warehouse(spark, f"{root}/house")
+    landing.land(landing.landed_current(spark, sf), f"{root}/current")
+    landing.land(landing.landed_hourly(spark, sf), f"{root}/hourly")
+    loads.load_current(house, read_current(spark, f"{root}/current"), "1", _now())
+    loads.load_forecast(house, read_hourly(spark, f"{root}/hourly"), "1", _now())
+    loads.build_marts(house, _now())
+    loads.run_checks(house, "1", _now())
+    return loads.run_report(house)
+
+
 @query
 def route_rejects_(spark, sf):
     landed = landing.land(landing.landed_hourly(spark, sf))
@@ -389,9 +505,15 @@ def filter_neighborhood(spark, sf):
     return reports.filter_neighborhood(_forecast(spark, sf), "NATION_7")
 
 
+@query
+def current_card(spark, sf):
+    return reports.current_card(reports.latest_per_neighborhood(_readings(spark, sf)))
+
+
 @query
 def filter_horizon(spark, sf):
-    return reports.filter_horizon(_forecast(spark, sf).select(*reports.FORECAST_PAGE), 7)
+    page = t.forecast_mart(spark, sf).select(*reports.FORECAST_PAGE)
+    return reports.filter_horizon(page, 7, materialize)
 
 
 @query
@@ -458,25 +580,38 @@ def stream_current_(spark, sf):
             spark, f"{root}/landing", f"{root}/house", f"{root}/checkpoint", _now()
         ).awaitTermination()
     house = loads.Warehouse(spark, f"{root}/house")
-    fact = house.read("fact_current_weather").join(
+    return _placed_facts(house, "fact_current_weather", "weather_id")
+
+
+def _placed_facts(house: loads.Warehouse, table: str, id_col: str) -> DataFrame:
+    """Facts with their place's name, and what their ids tell instead of the ids."""
+    fact = house.read(table).join(
         house.read("dim_location").select("location_id", "neighborhood_name"), "location_id"
     )
-    return fact.drop("weather_id", "location_id", "date_id")
+    return _with_id_check(fact, id_col).drop(id_col, "location_id", "date_id")
 
 
-@query
-def stream_forecast_(spark, sf):
+def _streamed_forecast(spark, waves, max_files: int | None = None) -> DataFrame:
+    """Waves of files, each followed by a run of the stream."""
     root = scratch_dir(spark)
-    for run in (1, 2):
-        landing.land(landing.landed_hourly(spark, sf, run), f"{root}/landing")
+    for wave in waves:
+        landing.land(wave, f"{root}/landing")
         stream_forecast(
-            spark, f"{root}/landing", f"{root}/house", f"{root}/checkpoint", _now()
+            spark, f"{root}/landing", f"{root}/house", f"{root}/checkpoint", _now(), max_files
         ).awaitTermination()
     house = loads.Warehouse(spark, f"{root}/house")
-    fact = house.read("fact_hourly_forecast").join(
-        house.read("dim_location").select("location_id", "neighborhood_name"), "location_id"
-    )
-    return fact.drop("forecast_id", "location_id", "date_id")
+    return _placed_facts(house, "fact_hourly_forecast", "forecast_id")
+
+
+@query
+def stream_forecast_(spark, sf):
+    return _streamed_forecast(spark, [landing.landed_hourly(spark, sf, run) for run in (1, 2)])
+
+
+@query
+def stream_forecast_plain(spark, sf):
+    """A feed without run or arrival numbers: the newest response of a place stands for it."""
+    return _streamed_forecast(spark, [landing.landed_plain(spark, sf, wave) for wave in (1, 2)])
 
 
 # --- column functions ------------------------------------------------------

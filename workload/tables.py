@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skylattice.operators.dims import describe_dates
 from skylattice.operators.merge import dedupe_last_wins
+from skylattice.plans import marts
 from skylattice.schemas import CURRENT_METRICS, FORECAST_METRICS, UNIQUE_KEYS
 from skylattice.schemas import FACT_CURRENT as FACT_CURRENT_COLUMNS
 from skylattice.schemas import FACT_FORECAST as FACT_FORECAST_COLUMNS
@@ -159,6 +160,9 @@ FACT_FORECAST = _fact(
     "l_shipdate - INTERVAL '1' DAY",
 )
 
+# A forecast covers days, not years; rows of one place then share hours.
+WITHIN_A_MONTH = "CAST('1998-08-01 00:00:00' AS {kind}) + INTERVAL '1' DAY * (day({time}) - 1) + INTERVAL '1' HOUR * hour({time})"
+
 # Arrival order of forecast rows; (order, line) alone is not unique.
 LINE_ARRIVAL = ["l_orderkey", "l_linenumber", "l_partkey", "cents"]
 BATCH_FORECAST = [
@@ -201,13 +205,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use idle cores on an input that has fewer splits than there are.
-
-    The sample files hold one row group each, which is one task. An input of
-    many splits is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The sample files hold one row group each, which would be one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _derive(df: DataFrame, *layers: list[str]) -> DataFrame:
@@ -321,6 +320,14 @@ def forecast_locations(spark, sf_dir):
     return _derive(named, FORECAST_PLACE)
 
 
+@stored
+def forecast_mart(spark, sf_dir):
+    """The forecast mart as a report reads it."""
+    return marts.forecast(
+        fact_forecast(spark, sf_dir), forecast_locations(spark, sf_dir), forecast_dates(spark, sf_dir)
+    )
+
+
 def _dates(df: DataFrame, column: str) -> DataFrame:
     days = df.selectExpr(f"CAST({column} AS DATE) AS date").distinct()
     return describe_dates(days.selectExpr(f"{_yyyymmdd('date')} AS date_id", "date"))
