@@ -13,7 +13,8 @@ if it lies in a run of ``MIN_WORDS`` words or more that has occurred before.
 
 Everything is DataFrame functions. A line that a third of all documents share is
 one group of an aggregate, which is combined before the shuffle; the join back to
-the places is left to the optimizer, which splits skewed partitions.
+the places is left to the optimizer, which splits skewed partitions. The texts are
+shuffled once, for the lines to delete.
 
 A null or empty text has no lines and stays as it is. Blank lines stay. Rows
 without a doc_id are neither sources nor changed. Rows that repeat a doc_id are
@@ -114,19 +115,23 @@ def remove_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> D
     gone = runs.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
     gone = work.stage(gone.select(
         F.col("doc_id").alias("gone_id"), F.col("tag").alias("gone_tag"),
-        F.expr("array_distinct(flatten(transform(runs, r -> sequence(r.start, r.end))))").alias("gone"),
+        F.expr("array_distinct(flatten(transform(runs, r -> sequence(r.start, r.end))))").alias("dedup__gone"),
     ))
-    rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "text", F.xxhash64("text").alias("tag"))
-    rows = rows.join(gone, (F.col("doc_id") == F.col("gone_id")) & (F.col("tag") == F.col("gone_tag")), "left")
-    rows = rows.withColumn("lines", F.split("text", "\n")).withColumn("solid", F.expr(
-        f"filter(sequence(0, size(lines) - 1), i -> regexp_like(lines[i], r'{WORD}'))"
+    # What is gone grows with the documents, so it is never broadcast: the plan is the same at every size.
+    same = (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_tag"))
+    rows = documents.join(gone.hint("merge"), same, "left")
+    rows = rows.withColumn("dedup__all", F.split("text", "\n")).withColumn("dedup__solid", F.expr(
+        f"filter(sequence(0, size(dedup__all) - 1), i -> regexp_like(dedup__all[i], r'{WORD}'))"
     ))
-    left = "array_join(transform(array_except(sequence(0, size(lines) - 1), transform(gone, x -> solid[x - 1])), i -> lines[i]), '\n')"
-    clean = F.expr(f"if(gone is null, text, {left})")
+    left = (
+        "array_join(transform(array_except(sequence(0, size(dedup__all) - 1), "
+        "transform(dedup__gone, x -> dedup__solid[x - 1])), i -> dedup__all[i]), '\n')"
+    )
+    clean = F.expr(f"if(dedup__gone is null, text, {left})")
     return rows.select(
-        *(clean.alias("text") if c == "text" else F.col(f"row.{c}").alias(c) for c in documents.columns),
-        F.expr("if(text is null, 0, size(solid))").cast("long").alias("dedup_lines"),
-        F.expr("if(gone is null, 0, size(gone))").cast("long").alias("dedup_removed"),
+        *(clean.alias("text") if c == "text" else c for c in documents.columns),
+        F.expr("if(text is null, 0, size(dedup__solid))").cast("long").alias("dedup_lines"),
+        F.expr("if(dedup__gone is null, 0, size(dedup__gone))").cast("long").alias("dedup_removed"),
     )
 
 
