@@ -37,6 +37,7 @@ def cols(names, alias: str = "") -> str:
     return ", ".join(f"{alias}.{n}" if alias else n for n in names)
 
 
+# Fixed values down to the captions: the published columns, limits, codes and labels.
 STG_CURRENT = [
     "weather_id", "location_id", "date_id", "observation_time_est", "temp_celsius",
     "temp_fahrenheit", "feels_like_celsius", "feels_like_fahrenheit", "humidity_percent",
