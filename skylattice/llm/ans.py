@@ -224,4 +224,5 @@ def unpack(blocks: DataFrame, table: Table) -> DataFrame:
         total += n
     kind = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("offset", T.LongType())])
     offsets = blocks.sparkSession.createDataFrame(starts, kind)
-    return blocks.join(offsets, "shard").mapInArrow(_unpack(table), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A row for each task that wrote blocks; the blocks themselves need not move.
+    return blocks.join(F.broadcast(offsets), "shard").mapInArrow(_unpack(table), "doc_id long, start long, n_tokens long, ids_crc32 long")
