@@ -238,7 +238,8 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     labelled = described.select("doc_id", "n", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
     alone = "n = 0 or doc_id is null"
     labelled = work.stage(labelled.select("doc_id", "n", F.expr(f"if({alone}, null, coalesce(root, cls))").alias("label")))
-    least = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
+    # Stored, so that the join below is one whose hot labels can be split.
+    least = work.stage(labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")))
     work.drop(members, info, star, open_, rest)
     return labelled.join(least, "label", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
