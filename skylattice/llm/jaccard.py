@@ -35,6 +35,7 @@ repeat an id are rows of their own. Other columns are not read. Features are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ PARITY_LONGS = 16
 SEEN = 1_000_000
 
 
+@cache
 def bands(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
     """First size of each band, and n1 of the instance in which it is the upper band (0: equal sets only)."""
     first, parts, low = [], [], 1
@@ -63,8 +65,17 @@ def bands(percent: int, largest: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]
     return np.array(first, np.int64), np.array(parts, np.int64)
 
 
-def slack(parts: np.ndarray) -> np.ndarray:
-    return np.minimum(parts // 12, 2 + parts // 50)
+def slack(parts: np.ndarray, percent: int) -> np.ndarray:
+    """More partitions than are needed: a quarter above the share that is expected to have an empty signature.
+
+    In the instance above its own band a set has the fewest features for a
+    partition; the signatures of one are of two thirds of them.
+    """
+    features = (percent / 100) ** 2 * (100 + percent) / (100 - percent)
+    share = 0.0
+    for _ in range(10):
+        share = min(0.25, 1.25 * (1 + share) * 3 * np.exp(-2 / 3 * features / (1 + share)))
+    return (parts * max(share, 0.02)).astype(np.int64) + np.minimum(parts // 12, 2)
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -105,15 +116,16 @@ def _describe(words: int):
     return run
 
 
-def signatures(row: np.ndarray, value: np.ndarray, n: int, first: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(row: np.ndarray, value: np.ndarray, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """PartEnum signatures of n sets, flat, with the number of each set."""
+    first, parts = bands(percent)
     size = np.bincount(row, minlength=n)
     band = np.searchsorted(first, np.maximum(size, 1), side="right") - 1
     part, third = value >> U64(32), ((value & U64(0xFFFFFFFF)) * U64(3) >> U64(32)).astype(np.int64)
     weight = mix(value, 7)
     flat, owner = [], []
     for step in (0, 1):
-        spare = slack(parts[band + step])
+        spare = slack(parts[band + step], percent)
         n1 = np.where(size > 0, parts[band + step] + spare, 0)
         base = np.concatenate(([0], np.cumsum(n1)))
         if base[-1] == 0:
@@ -138,7 +150,6 @@ def signatures(row: np.ndarray, value: np.ndarray, n: int, first: np.ndarray, pa
 
 
 def _sign(words: int, percent: int):
-    first, parts = bands(percent)
     schema = pa.schema([("cls", pa.int64()), ("sigs", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -151,7 +162,7 @@ def _sign(words: int, percent: int):
                 if len(seen) > SEEN:
                     seen.clear()
                 use = fresh[row]
-                flat, count = signatures(row[use], value[use], n, first, parts)
+                flat, count = signatures(row[use], value[use], n, percent)
                 keep = count > 0
                 yield pa.record_batch([pa.array(cls[keep]), lists(flat, count[keep], pa.int64())], schema=schema)
 
