@@ -32,6 +32,7 @@ from skylattice.llm.workspace import Workspace
 
 PER_LANGUAGE = 3000
 BROADCAST_ROWS = 100_000
+SHARES = 64
 GRAMS = (3, 4, 5)
 BITS = 15
 AMBIGUOUS = 0.2
@@ -163,8 +164,12 @@ def _counts():
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model from rows (doc_id, text, lang); None without any."""
     known = labelled.where("lang is not null and text is not null").select("doc_id", "lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang")
+    # Ranked in shares of each language first, so that a language of most documents is not one task's.
+    chosen = known.withColumn("share", F.expr(f"pmod(xxhash64(doc_id, 5), {SHARES})"))
+    for by in (["lang", "share"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        chosen = chosen.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    chosen = chosen.select("doc_id", "lang")
     chosen = Workspace(labelled.sparkSession).stage(chosen)
     if chosen.count() <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
