@@ -15,7 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
+
+# Freed batches go back to the system, as other tasks of the executor need the memory.
+pa.set_memory_pool(pa.system_memory_pool())
 
 #: An odd multiplier and its inverse modulo 2**64, for positional hashes.
 BASE = 0x9E3779B97F4A7C15
