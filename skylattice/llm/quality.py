@@ -3,14 +3,16 @@
 Each view has a logistic classifier. Both start from the labelled sample; over
 ``ROUNDS`` rounds each scores the unlabelled sample and hands the documents it is
 surest of, at most ``GIVE`` of a class and only beyond ``SURE``, to the other as
-pseudo-labels. A quarter of the labelled sample takes no part in this: on it each
-view is calibrated and the calibrated views are combined. Every document is then
-scored, by its whole text.
+pseudo-labels. A quarter of each class of the labelled sample takes no part in
+this: on it each view is calibrated and the calibrated views are combined. Every
+document is then scored, by its whole text.
 
-The classifiers are fitted on at most ``LABELLED`` labelled and ``UNLABELLED``
-other documents, those with the smallest hashes of their ids; nothing else comes
-to the driver. Labels that contradict each other are left out. Without labels of
-both kinds the score is 0.5.
+The classifiers are fitted on at most ``LABELLED`` labelled documents of each class
+and ``UNLABELLED`` other ones, those with the smallest hashes of their ids; nothing
+else comes to the driver. Where that leaves out more of one class than of the other,
+log-odds are moved back to the classes' shares of all labels. The only label of a
+class serves for fitting and calibration. Labels that contradict each other are left
+out. Without labels of both kinds the score is 0.5.
 
 A text that is null or has no words is rejected with score 0. Nulls in metadata
 are values of their own. Rows that repeat an id are scored each. Other columns
@@ -22,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylattice.llm.text import NOT_SPACE, U64, mix, pieces, word_bounds, word_hashes
@@ -30,6 +32,7 @@ from skylattice.llm.workspace import Workspace
 
 LABELLED = 4000
 UNLABELLED = 3000
+SHARES = 64
 ROUNDS = 5
 GIVE = 100
 SURE = 0.95
@@ -131,21 +134,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 15)
 class Model:
     """Two views, their calibrations and their combination."""
 
-    def __init__(self, views: list[np.ndarray], labels: np.ndarray):
-        """``labels``: 0, 1, or -1 for unlabelled rows."""
-        known = np.flatnonzero(labels >= 0)
-        check = known[::4]
-        if len(set(labels[check].tolist())) < 2:
-            check = known
-        train = np.setdiff1d(known, check) if len(check) < len(known) else known
-        if len(set(labels[train].tolist())) < 2:
-            train = known
+    def __init__(self, views: list[np.ndarray], labels: np.ndarray, prior: float = 0.0):
+        """``labels``: 0, 1, or -1 for unlabelled rows. ``prior``: what the log-odds of 1 among all labels are above those of the rows."""
+        self.prior = prior
+        kinds = [np.flatnonzero(labels == label) for label in (0, 1)]
+        check = np.sort(np.concatenate([rows[::4] for rows in kinds]))
+        train = np.sort(np.concatenate([np.delete(rows, np.s_[::4]) if len(rows) > 1 else rows for rows in kinds]))
         free = np.flatnonzero(labels < 0)
         given = [{i: labels[i] for i in train.tolist()} for _ in views]
         for _ in range(ROUNDS):
             self.views = [self._fit(x, mine) for x, mine in zip(views, given, strict=True)]
             for v, other in ((0, 1), (1, 0)):
-                p = sigmoid(views[v][free] @ self.views[v])
+                p = sigmoid(views[v][free] @ self.views[v] + prior)
                 for label, sure in ((1, p), (0, 1 - p)):
                     best = [i for i in np.argsort(-sure, kind="stable") if sure[i] >= SURE and int(free[i]) not in given[other]]
                     given[other].update((int(free[i]), label) for i in best[:GIVE])
@@ -168,7 +168,7 @@ class Model:
     def score(self, views: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(combined score, score of each view)."""
         logit = self._logits(views)
-        return sigmoid(logit @ self.mix[:-1] + self.mix[-1]), sigmoid(logit)
+        return sigmoid(logit @ self.mix[:-1] + self.mix[-1] + self.prior), sigmoid(logit + self.prior)
 
 
 def _views(batches):
@@ -182,25 +182,33 @@ def _views(batches):
 
 
 def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model | None:
-    """A model from ``labels`` (doc_id, quality); None without labels of both kinds."""
+    """A model from ``labels`` (doc_id, quality), at most ``labelled`` of a class; None without labels of both kinds."""
     work = Workspace(documents.sparkSession)
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
     ids = documents.select("doc_id").where("doc_id is not null").join(known, "doc_id", "left").where("quality is null or quality = other")
     order = [F.xxhash64("doc_id", F.lit(6)), "doc_id"]
+    known = work.stage(ids.where("quality is not null").select("doc_id", "quality").distinct())
+    total = dict(known.groupBy("quality").count().collect())
+    # Ranked in shares of each class first, so that a class of most labels is not one task's.
+    ranked = known.withColumn("share", F.expr(f"pmod(xxhash64(doc_id, 5), {SHARES})"))
+    for by in (["quality", "share"], ["quality"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        ranked = ranked.withColumn("rank", rank).where(F.col("rank") <= labelled)
     chosen = work.stage(
-        ids.where("quality is not null").select("doc_id", "quality").orderBy(*order).limit(labelled)
+        ranked.select("doc_id", "quality")
         .union(ids.where("quality is null").select("doc_id", F.lit(-1)).orderBy(*order).limit(unlabelled)).distinct()
     )
     sample = documents.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     rows = sample.orderBy(*order).mapInArrow(_views, "quality int, features binary").toArrow()
-    work.drop(chosen)
+    work.drop(known, chosen)
     if rows.num_rows == 0:
         return None
     quality = rows.column("quality").to_numpy()
     if not {0, 1} <= set(quality.tolist()):
         return None
     both = np.stack([np.frombuffer(r.as_buffer(), np.float32) for r in rows.column("features")])
-    return Model([both[:, : SHAPES + 8], both[:, SHAPES + 8 :]], quality)
+    reject, keep = (np.log(total[label] / (quality == label).sum()) for label in (0, 1))
+    return Model([both[:, : SHAPES + 8], both[:, SHAPES + 8 :]], quality, float(keep - reject))
 
 
 def _scores(batch: pa.RecordBatch, model: Model | None):
