@@ -15,12 +15,16 @@ class serves for fitting and calibration. Labels that contradict each other are
 out. Without labels of both kinds the score is 0.5.
 
 A text that is null or has no words is rejected with score 0. Nulls in metadata
-are values of their own. Rows that repeat an id are scored each. Other columns
+are values of their own. Sources and languages are hashed whole; each value sets
+``MARKS`` of ``META // 2 - 8`` features, so that two values are told apart unless
+they share all of them by chance. Rows that repeat an id are scored each. Other columns
 than doc_id, text, lang, source and n_chars are passed through by ``keep_good``.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,6 +44,7 @@ KEEP = 0.5
 ROWS = 1024
 SHAPES = 512
 META = 128
+MARKS = 3
 
 #: Upper case, lower case, digits, line ends, white space and non-ASCII as one sign each; punctuation as it is.
 SHAPE = np.arange(256, dtype=np.uint64)
@@ -99,13 +104,11 @@ def meta_view(batch: pa.RecordBatch) -> np.ndarray:
     out = np.zeros((n, META), np.float32)
     for seed, name in enumerate(("source", "lang")):
         column = pc.fill_null(batch.column(name).cast(pa.string()), "\0").dictionary_encode()
-        names = pa.array(column.dictionary)
-        code = np.zeros(len(names), U64)
-        for first, end, data, offsets in pieces(names):
-            for i in range(first, end):
-                code[i] = U64(int.from_bytes(data[offsets[i - first] : offsets[i - first + 1]].tobytes()[-7:], "little"))
-        bucket = (mix(code, seed + 20) % U64(META // 2 - 8)).astype(np.int64) + seed * (META // 2 - 8)
-        out[np.arange(n), bucket[column.indices.to_numpy()]] = 1
+        names = column.dictionary.cast(pa.binary()).to_pylist()
+        code = np.array([int.from_bytes(blake2b(name, digest_size=8).digest(), "little") for name in names], U64)
+        for again in range(MARKS):
+            bucket = (mix(code, seed + 20 + 2 * again) % U64(META // 2 - 8)).astype(np.int64) + seed * (META // 2 - 8)
+            out[np.arange(n), bucket[column.indices.to_numpy()]] = 1
     chars = np.maximum(np.nan_to_num(pc.fill_null(batch.column("n_chars").cast(pa.float64()), 0).to_numpy()), 0)
     out[np.arange(n), META - 16 + np.minimum(np.log2(chars + 1).astype(int) // 2, 13)] = 1
     out[:, META - 1] = 1
