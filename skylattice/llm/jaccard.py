@@ -41,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skylattice.llm.graph import components
 from skylattice.llm.text import NOT_SPACE, U64, lists, mix, pieces, shingles, word_bounds, word_hashes
@@ -210,8 +211,15 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     Documents link when 100 * intersection >= percent * union of their sets of
     ``words``-word shingles; component_id is the smallest doc_id that links reach.
     """
+    labelled, least = _labels(documents, words, percent, Workspace(documents.sparkSession))
+    return labelled.join(least, "label", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
+    )
+
+
+def _labels(documents: DataFrame, words: int, percent: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, cls, label) of every row, label null where it links with nothing; (label, least): the smallest doc_id."""
     texts = documents.select("doc_id", "text")
-    work = Workspace(documents.sparkSession)
     described = work.stage(texts.mapInArrow(_describe(words), "doc_id long, n long, cls long, bits array<long>"))
 
     signed = texts.mapInArrow(_sign(words, percent), "cls long, sigs array<long>").select("cls", F.explode("sigs").alias("sig"))
@@ -248,13 +256,11 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
 
     labelled = described.select("doc_id", "n", "cls").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
     alone = "n = 0 or doc_id is null"
-    labelled = work.stage(labelled.select("doc_id", "n", F.expr(f"if({alone}, null, coalesce(root, cls))").alias("label")))
-    # Stored, so that the join below is one whose hot labels can be split.
+    labelled = work.stage(labelled.select("doc_id", "n", "cls", F.expr(f"if({alone}, null, coalesce(root, cls))").alias("label")))
+    # Stored, so that a join with it is one whose hot labels can be split.
     least = work.stage(labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")))
     work.drop(members, info, star, open_, rest)
-    return labelled.join(least, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
-    )
+    return labelled, least
 
 
 def _may_link(percent: int) -> str:
@@ -269,7 +275,41 @@ def _may_link(percent: int) -> str:
     )
 
 
+def _classed(words: int):
+    def run(batches):
+        for batch in batches:
+            for first, n, row, value in shingle_sets(batch.column("text"), words):
+                yield pa.record_batch([
+                    batch.column("row").slice(first, n), batch.column("doc_id").slice(first, n),
+                    pa.array(np.bincount(row, minlength=n)), pa.array(class_of(row, value, n)),
+                ], names=["row", "doc_id", "n", "cls"])
+
+    return run
+
+
 def one_per_component(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``documents`` without those whose component has a smaller doc_id; rows without an id stay."""
-    drop = jaccard_components(documents, words, percent).where("doc_id <> component_id").select("doc_id")
-    return documents.join(drop.distinct(), "doc_id", "left_anti").select(*documents.columns)
+    """One row of ``documents`` for each component; rows without an id or without words stay.
+
+    The row of the smallest doc_id stays. Of several rows with that id it is one
+    of the least class, of these the least in order. Rows that repeat an id are
+    judged each by its own text.
+    """
+    work = Workspace(documents.sparkSession)
+    labelled, least = _labels(documents, words, percent, work)
+    rows = labelled.join(least, "label")
+    again = work.stage(labelled.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if again.isEmpty():
+        drop = rows.where("doc_id <> least").select("doc_id")
+        return documents.join(drop.distinct(), "doc_id", "left_anti").select(*documents.columns)
+    first = work.stage(rows.where("doc_id = least").groupBy("label").agg(F.min("cls").alias("first")))
+    gone = work.stage(rows.join(first, "label").where("doc_id <> least or cls <> first").select("doc_id", "cls").distinct())
+    once = gone.join(again, "doc_id", "left_anti").select("doc_id")
+    unique = documents.join(again.union(once), "doc_id", "left_anti").select(*documents.columns)
+    schema = StructType().add("row", documents.schema).add("doc_id", "long").add("n", "long").add("cls", "long")
+    repeated = documents.join(again, "doc_id", "left_semi").select(F.struct(*documents.columns).alias("row"), "doc_id", "text")
+    repeated = repeated.mapInArrow(_classed(words), schema).join(gone, ["doc_id", "cls"], "left_anti")
+    # Rows without words are a group each.
+    repeated = repeated.withColumn("alone", F.when(F.col("n") == 0, F.monotonically_increasing_id()))
+    order = Window.partitionBy("doc_id", "cls", "alone").orderBy("row.text", F.to_json("row"))
+    repeated = repeated.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    return unique.union(repeated.select("row.*"))
