@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import line_dedup, mixing, pii, quality, topk, url_filter
+from skylattice.llm import clusters, line_dedup, mixing, negatives, pii, quality, topk, url_filter
 from skylattice.llm.ans import pack, unpack
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
@@ -90,6 +90,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of all vectors after three rounds."""
+    found = clusters.described(*clusters.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score a little below the positives of every fiftieth vector."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    found = negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
+    scores = [F.col(c).try_cast("long").alias(c) for c in ("positive_score", "negative_score")]
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", *scores)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_language_id": op5_language_id,
@@ -101,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: Equivalent SQL, where SQL can say it.
@@ -117,4 +134,23 @@ ORACLE_SQL: dict[str, str] = {
         select query_id, rank, vec_id, score from ranked where rank <= 5""",
     "op8_line_dedup": line_dedup.plain_sql(),
     "op9_mixing": mixing.plain_sql(),
+    "op12_centroid_clustering": clusters.plain_sql(),
+    "op13_hard_negatives": """
+        with rows as (
+            select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+            where vec_id is not null and label is not null and len(embedding) > 0
+                and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+        scored as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+                list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::bigint as score
+            from rows a join rows b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::integer as rank,
+            vec_id as negative_id, positive_score, score as negative_score
+        from positives join scored using (anchor_id)
+        where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify rank <= 3""",
 }
