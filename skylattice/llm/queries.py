@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skylattice.llm import clusters, line_dedup, mixing, negatives, pii, quality, topk, url_filter
 from skylattice.llm.ans import pack, unpack
+from skylattice.llm.chosen_path import chosen_path_components
 from skylattice.llm.decontaminate import matched
 from skylattice.llm.jaccard import jaccard_components
 from skylattice.llm.language import fit, held_out, predict
@@ -90,6 +91,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.85 or more, and which one to keep."""
+    return chosen_path_components(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen clusters of all vectors after three rounds."""
     found = clusters.described(*clusters.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_pii": op2_pii,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op11_minhash_dedup": op11_minhash_dedup,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_hard_negatives": op13_hard_negatives,
 }
