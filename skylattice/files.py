@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import time
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -43,15 +47,31 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was written, in seconds; now if it is gone."""
+    fs, where = _at(spark, path)
+    return fs.getFileStatus(where).getModificationTime() / 1000 if fs.exists(where) else time.time()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """A new file that is there whole or not at all; an error if it is already there."""
+    """A new file that is there whole or not at all; FileExistsError if it is already there.
+
+    A rename takes a name only once on a distributed file system. On a local one
+    it would replace the file, so there the name is given by a link.
+    """
     fs, where = _at(spark, path)
     folder, _, name = path.rpartition("/")
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.draft")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.{uuid.uuid4().hex}")
     stream = fs.create(draft, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    if fs.exists(where) or not fs.rename(draft, where):
-        raise OSError(f"another writer has made {path}")
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(draft.toUri().getPath(), where.toUri().getPath())
+        elif fs.exists(where) or not fs.rename(draft, where):
+            raise FileExistsError(f"another writer has made {path}")
+    finally:
+        if fs.exists(draft):
+            fs.delete(draft, False)

@@ -8,8 +8,9 @@ the place, whole; arrival is the number in the feed, or else the landed file.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from skylattice.operators import quality
 from skylattice.operators.dims import get_or_create_date, new_dates, upsert_location
 from skylattice.operators.merge import merge_frames
 from skylattice.operators.storage import (
-    days_of, folders, partition_of, read_batches, read_mart, read_stored, replace_partitions,
-    replace_table, sink_batch, sink_mart,
+    Change, Snapshot, days_of, hold, partition_of, pinned, read_batches, read_mart, read_stored,
+    replace_partitions, sink_batch, snapshot, update, version_exists,
 )
 from skylattice.plans import marts
 from skylattice.schemas import (
@@ -29,6 +30,7 @@ from skylattice.schemas import (
 )
 from skylattice.session import scratch
 from skylattice.sources.responses import flatten_current, flatten_hourly, route_rejects
+from skylattice.sources.tables import schema_drift
 
 CURRENT_ARRIVAL = ["run_id", "arrival"]
 HOURLY_ARRIVAL = ["run_id", "arrival", "hour_pos"]
@@ -82,19 +84,31 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def snapshot(self, table: str) -> Snapshot:
+        return snapshot(self.spark, self.path(table))
+
     def stored(
-        self, table: str, chosen: Callable[[dict[str, str]], bool] = lambda partition: True
+        self, table: str, chosen: Callable[[dict[str, str]], bool] = lambda partition: True,
+        at: Snapshot | None = None, **how,
     ) -> DataFrame:
-        """The table as it is stored; one that drifted from its contract is an error."""
+        """The table as it is stored, or was ``at`` a version; one that drifted from its contract is an error."""
         return read_stored(
-            self.spark, self.path(table), STORED[table], PARTITIONS.get(table, ()), chosen
+            self.spark, self.path(table), STORED[table], PARTITIONS.get(table, ()), chosen, at, **how
         )
 
-    def read(self, table: str) -> DataFrame:
-        return self.stored(table).select(*TABLES[table].names)
+    def read(self, table: str, at: Snapshot | None = None, **how) -> DataFrame:
+        return self.stored(table, at=at, **how).select(*TABLES[table].names)
+
+    def mart(self, name: str, **how) -> DataFrame:
+        return read_mart(self.spark, self.path(name), marts.mart_schema(self.spark, name), **how)
+
 
-    def mart(self, name: str) -> DataFrame:
-        return read_mart(self.spark, self.path(name), marts.mart_schema(self.spark, name))
+@dataclass(frozen=True)
+class Mark:
+    """A batch of a feed whose batches come one after the other; a batch that is stored is not loaded again."""
+
+    feed: str
+    number: int
 
 
 def resolve_keys(
@@ -205,16 +219,41 @@ def _update_dims(
     house: Warehouse, valid: DataFrame, time_col: str, now: Column,
     stage: Callable[[DataFrame], DataFrame],
 ) -> None:
+    """Bring places and days up to date; taken up again if another load has published in between."""
     # The hours of a response share its place, so one of them stands for all.
     places = valid.filter("hour_pos = 0") if "hour_pos" in valid.columns else valid
-    stored = house.stored("dim_location")
-    replace_table(
-        upsert_location(stored, places, CURRENT_ARRIVAL, now, stage), house.path("dim_location")
-    )
-    dates = house.stored("dim_date")
-    days = stage(new_dates(dates, valid.select(F.to_date(time_col).alias("date"))))
-    if not days.isEmpty():
-        replace_table(get_or_create_date(dates, days), house.path("dim_date"))
+
+    def with_places(base: Snapshot) -> Change:
+        stored = house.stored("dim_location", at=base)
+        return Change(upsert_location(stored, places, CURRENT_ARRIVAL, now, stage), lambda p: True)
+
+    def with_days(base: Snapshot) -> Change | None:
+        dates = house.stored("dim_date", at=base)
+        days = stage(new_dates(dates, valid.select(F.to_date(time_col).alias("date"))))
+        return None if days.isEmpty() else Change(get_or_create_date(dates, days), lambda p: True)
+
+    update(house.spark, house.path("dim_location"), with_places)
+    update(house.spark, house.path("dim_date"), with_days)
+
+
+def _replayed(house: Warehouse, table: str, kind: str, mark: Mark | None) -> DataFrame | None:
+    """The report of a batch whose rows are stored already, stored once more; a feed may come back after a failure."""
+    known = house.snapshot(table).marks.get(mark.feed) if mark else None
+    if known is None or known["number"] < mark.number:
+        return None
+    if known["number"] > mark.number:
+        raise ValueError(f"{mark.feed}: batch {mark.number} comes after batch {known['number']}")
+    schema = T.StructType.fromJson(known["schema"])
+    row = house.spark.createDataFrame([json.dumps(known["report"])], "string")
+    return _report(house, kind, row.select(F.from_json("value", schema).alias("row")).select("row.*"))
+
+
+def _marks(mark: Mark | None, summary: DataFrame) -> dict[str, dict]:
+    """What a publication notes of a batch: its number and its report."""
+    if mark is None:
+        return {}
+    report = json.loads(summary.toJSON().first())
+    return {mark.feed: {"number": mark.number, "report": report, "schema": summary.schema.jsonValue()}}
 
 
 def _report(house: Warehouse, kind: str, summary: DataFrame) -> DataFrame:
@@ -234,11 +273,15 @@ def run_report(house: Warehouse) -> DataFrame:
 
 
 def load_current(
-    house: Warehouse, landed: DataFrame, batch_id: str, now: Column | None = None
+    house: Warehouse, landed: DataFrame, batch_id: str, now: Column | None = None,
+    mark: Mark | None = None,
 ) -> DataFrame:
     """Load landed current responses; returns the summary row."""
     now = ny_now() if now is None else now
     table = "fact_current_weather"
+    replayed = _replayed(house, table, "load_current", mark)
+    if replayed is not None:
+        return replayed
     with scratch(house.spark) as stage:
         flat = stage(flatten_current(landed))
         valid, rejects = route_rejects(flat)
@@ -249,30 +292,37 @@ def load_current(
             [*CURRENT_METRICS, *CURRENT_ARRIVAL],
         ).withColumn("part_date", F.to_date("observation_time"))
         days = days_of(valid.select(F.to_date("observation_time").alias("part_date")))
-        target = house.stored(table, lambda partition: partition["part_date"] in days)
-        replace_partitions(
-            upsert_current(target, batch, now, stage=stage),
-            house.path(table), PARTITIONS[table], ["location_id", "observation_time"],
-        )
-        return _report(house, "load_current", load_summary(flat, now))
+        summary = load_summary(flat, now)
+        summary = house.spark.createDataFrame([summary.first()], summary.schema)
+
+        def merged(base: Snapshot) -> Change:
+            touched = lambda partition: partition["part_date"] in days
+            target = house.stored(table, touched, at=base)
+            return Change(upsert_current(target, batch, now, stage=stage), read=touched, marks=_marks(mark, summary))
+
+        update(house.spark, house.path(table), merged, PARTITIONS[table], ["location_id", "observation_time"])
+        return _report(house, "load_current", summary)
 
 
 def load_forecast(
     house: Warehouse, landed: DataFrame, batch_id: str, now: Column | None = None,
-    clear: bool = True,
+    clear: bool = True, mark: Mark | None = None,
 ) -> DataFrame:
     """Load landed hourly responses; returns the summary row.
 
     ``clear`` keeps only the newest run, as the scheduled job does, and of each
-    place its last response; without it rows of earlier runs stay, and a row is
-    replaced by a later one for the same place and hour. A run of which nothing
-    could be loaded leaves the earlier forecast in place.
+    place its last response; without it rows of earlier runs stay, and for the
+    same place and hour the row that is loaded last stands, whatever its run. A
+    run of which nothing could be loaded leaves the earlier forecast in place.
 
     A new run is new folders, and clearing is naming none of the old ones; more
     of the same run reads and rewrites the days it touches.
     """
     now = ny_now() if now is None else now
     table, path = "fact_hourly_forecast", house.path("fact_hourly_forecast")
+    replayed = _replayed(house, table, "load_forecast", mark)
+    if replayed is not None:
+        return replayed
     with scratch(house.spark) as stage:
         flat = stage(flatten_hourly(landed))
         valid, rejects = route_rejects(flat)
@@ -283,82 +333,152 @@ def load_forecast(
             valid, house.read("dim_location"), house.read("dim_date"), "forecast_time",
             [*FORECAST_METRICS, *HOURLY_ARRIVAL],
         ).withColumn("part_date", F.to_date("forecast_time")))
-        if clear:
-            ignored, cleared = _store_newest(house, batch, now, stage)
-        else:
-            days = days_of(batch)
-            touched = lambda partition: partition["part_date"] in days
-            merged = upsert_forecast(house.stored(table, touched), batch, now, stage=stage)
-            replace_partitions(
-                merged, path, PARTITIONS[table], ["location_id", "forecast_time"], touched
-            )
-            ignored, cleared = None, 0
-        if ignored is not None:
+        places = stage(batch.select("location_id", "run_id").distinct())
+        summary = None
+
+        def summed(ignored: DataFrame, cleared: int) -> DataFrame:
             known = house.read("dim_location").select("location_id", "latitude", "longitude")
             older = ignored.join(known, "location_id").select(
                 "latitude", "longitude", "run_id", F.lit(True).alias("ignored")
             )
             run = F.coalesce("run_id", F.lit(PLAIN_RUN).cast("bigint"))
-            marked = flat.withColumn("run_id", run).join(
-                older, ["latitude", "longitude", "run_id"], "left"
-            )
-            flat = marked.withColumn("ignored", F.coalesce("ignored", F.lit(False)))
-        else:
-            flat = flat.withColumn("ignored", F.lit(False))
-        return _report(
-            house, "load_forecast", load_summary(flat, now, F.lit(cleared).cast("bigint"))
+            marked = flat.withColumn("run_id", run).join(older, ["latitude", "longitude", "run_id"], "left")
+            told = marked.withColumn("ignored", F.coalesce("ignored", F.lit(False)))
+            row = load_summary(told, now, F.lit(cleared).cast("bigint"))
+            return house.spark.createDataFrame([row.first()], row.schema)
+
+        def newest(base: Snapshot) -> Change | None:
+            nonlocal summary
+            change, ignored, cleared = _newest_run(house, batch, places, base, now, stage)
+            summary = summed(ignored, cleared)
+            return change and replace(change, marks=_marks(mark, summary))
+
+        def added(base: Snapshot) -> Change:
+            nonlocal summary
+            days = days_of(batch)
+            touched = lambda partition: partition["part_date"] in days
+            merged = upsert_forecast(house.stored(table, touched, at=base), batch, now, stage=stage)
+            summary = summed(places.limit(0), 0)
+            return Change(merged, touched, marks=_marks(mark, summary))
+
+        update(
+            house.spark, path, newest if clear else added, PARTITIONS[table], ["location_id", "forecast_time"]
         )
+        return _report(house, "load_forecast", summary)
 
 
-def _store_newest(
-    house: Warehouse, batch: DataFrame, now: Column, stage: Callable[[DataFrame], DataFrame]
-) -> tuple[DataFrame, int]:
-    """Bring the stored forecast to the newest run.
+def _newest_run(
+    house: Warehouse, batch: DataFrame, places: DataFrame, base: Snapshot, now: Column,
+    stage: Callable[[DataFrame], DataFrame],
+) -> tuple[Change | None, DataFrame, int]:
+    """What brings the stored forecast to the newest run.
 
-    Returns ``location_id, run_id`` of the places whose responses changed nothing,
-    and how many rows were cleared.
+    Also ``location_id, run_id`` of the ``places`` whose responses change nothing,
+    and how many rows are cleared.
     """
-    table, path = "fact_hourly_forecast", house.path("fact_hourly_forecast")
-    places = stage(batch.select("location_id", "run_id").distinct())
-    there = {int(partition_of(f)["run_id"]) for f in folders(house.spark, path)}
+    table = "fact_hourly_forecast"
+    there = {int(partition_of(f)["run_id"]) for f in base.folders}
     newest = max([*there, *(r[0] for r in places.agg(F.max("run_id")).collect() if r[0] is not None)], default=None)
     current = batch.filter(F.col("run_id") == F.lit(newest))
-    stored = house.stored(table, lambda partition: partition["run_id"] == str(newest))
+    stored = house.stored(table, lambda partition: partition["run_id"] == str(newest), at=base)
     winners = stage(newest_responses(stored, current))
-    ignored = places.join(
+    ignored = stage(places.join(
         winners.select("location_id", F.lit(newest).cast("bigint").alias("run_id")),
         ["location_id", "run_id"], "left_anti",
-    )
-    ignored = stage(ignored)
+    ))
     if winners.isEmpty():
-        return ignored, 0
-    cleared = house.stored(table, lambda partition: partition["run_id"] != str(newest)).count()
+        return None, ignored, 0
+    older = lambda partition: partition["run_id"] != str(newest)
     # The days of the new rows, and those on which the places had rows before.
     taken = current.join(winners, ["location_id", "arrival"], "left_semi")
     days = days_of(taken) | days_of(stored.join(winners, "location_id", "left_semi"))
-    touched = house.stored(
-        table, lambda p: p["run_id"] == str(newest) and p["part_date"] in days
-    )
-    replace_partitions(
-        replace_forecast(touched, current, now, stage=stage, winners=winners),
-        path, PARTITIONS[table], ["location_id", "forecast_time"],
-        lambda p: p["run_id"] != str(newest) or p["part_date"] in days,
-    )
-    return ignored, cleared
+    touched = house.stored(table, lambda p: not older(p) and p["part_date"] in days, at=base)
+    rows = replace_forecast(touched, current, now, stage=stage, winners=winners)
+    replaced = lambda p: older(p) or p["part_date"] in days
+    return Change(rows, replaced, read=lambda p: True), ignored, base.rows(older)
+
+
+#: How a mart is built: from a fact, by day of its time.
+MARTS = {
+    "weather_readings": (marts.weather_readings, "fact_current_weather", "observation_time_est"),
+    "forecast": (marts.forecast, "fact_hourly_forecast", "forecast_time"),
+}
+DIMS = ("dim_location", "dim_date")
 
 
-def build_marts(house: Warehouse, now: Column | None = None) -> None:
-    """Rebuild both marts from the star tables."""
+def build_marts(house: Warehouse, now: Column | None = None, whole: bool = False) -> dict[str, set[str]]:
+    """Bring both marts up to date with the star tables; returns the days that were built anew.
+
+    The star is read as it is at the start, pinned, however many loads publish
+    meanwhile. A day is built again if its fact folders are others than those it
+    was built from, or if a place or the day itself has changed since. ``whole``
+    builds all days, as does a change of the mart's columns.
+    """
     now = ny_now() if now is None else now
-    locations, dates = house.read("dim_location"), house.read("dim_date")
-    readings = marts.weather_readings(house.read("fact_current_weather"), locations, dates)
-    hours = marts.forecast(house.read("fact_hourly_forecast"), locations, dates)
-    for name, rows, time_col in (
-        ("weather_readings", readings, "observation_time_est"), ("forecast", hours, "forecast_time"),
-    ):
-        sink_mart(rows, house.path(name), ["neighborhood_name", time_col])
-        counted = house.mart(name).agg(F.count(F.lit(1)).alias("n_rows"))
-        _report(house, f"mart_{name}", counted.withColumn("finished_at", now))
+    built = {}
+    with pinned(house.spark, house.root, [*DIMS, *(fact for _, fact, _ in MARTS.values())]) as at:
+        for name in MARTS:
+            built[name] = _build_mart(house, name, at, whole)
+            rows = house.spark.createDataFrame([(house.snapshot(name).rows(),)], "n_rows long")
+            _report(house, f"mart_{name}", rows.withColumn("finished_at", now))
+    return built
+
+
+def _build_mart(house: Warehouse, name: str, at: dict[str, Snapshot], whole: bool) -> set[str]:
+    build, fact, time_col = MARTS[name]
+    stored = T.StructType([f for f in marts.mart_schema(house.spark, name) if f.name != "date"])
+    sources: dict[str, list[str]] = {}
+    for folder in sorted(at[fact].folders):
+        sources.setdefault(partition_of(folder)["part_date"], []).append(folder)
+    stale: set[str] = set()
+
+    def difference(base: Snapshot) -> Change | None:
+        nonlocal stale
+        known = {partition_of(f)["date"]: e for f, e in base.folders.items()}
+        same = not any(schema_drift(T.StructType.fromJson(json.loads(x)), stored) for x in {e["schema"] for e in known.values()})
+        if whole or not same or not base.notes:
+            stale = {*sources, *known}
+        else:
+            stale = {d for d in {*sources, *base.notes["days"]} if sources.get(d) != base.notes["days"].get(d)}
+            changed = _days_of_changed_dims(house, fact, base.notes["dims"], at)
+            stale |= {*sources} if changed is None else changed
+        if not stale and base.number:
+            return None
+        rows = build(
+            house.stored(fact, lambda p: p["part_date"] in stale, at=at[fact]).select(*TABLES[fact].names),
+            house.read("dim_location", at["dim_location"]), house.read("dim_date", at["dim_date"]),
+        )
+        notes = {"days": sources, "dims": {d: at[d].number for d in DIMS}}
+        return Change(rows, lambda p: p["date"] in stale, read=lambda p: True, notes=notes)
+
+    made = update(house.spark, house.path(name), difference, ["date"], ["neighborhood_name", time_col])
+    if made.notes.get("dims") == {d: at[d].number for d in DIMS}:
+        hold(house.spark, house.root, {d: at[d] for d in DIMS}, f"mart-{name}")
+    return stale
+
+
+#: What the marts do not show of a dimension.
+UNSHOWN = {"dim_location": ["updated_at"], "dim_date": []}
+
+
+def _days_of_changed_dims(house: Warehouse, fact: str, built: dict[str, int], at: dict[str, Snapshot]) -> set[str] | None:
+    """Days with rows whose place or day is not what it was at the versions that a mart was ``built`` from.
+
+    None if these versions are no longer there to tell.
+    """
+    days: set[str] = set()
+    for dim, key in (("dim_location", "location_id"), ("dim_date", "date_id")):
+        if built[dim] == at[dim].number:
+            continue
+        if not version_exists(house.spark, house.path(dim), built[dim]):
+            return None
+        before = house.read(dim, snapshot(house.spark, house.path(dim), built[dim]))
+        shown = [c for c in before.columns if c not in UNSHOWN[dim]]
+        now, before = house.read(dim, at[dim]).select(*shown), before.select(*shown)
+        changed = before.exceptAll(now).select(key).distinct()
+        rows = house.stored(fact, at=at[fact]).select(key, "part_date").join(changed, key, "left_semi")
+        days |= days_of(rows)
+    return days
 
 
 def run_checks(house: Warehouse, batch_id: str, now: Column | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ Decimals leave as doubles so that both engines print them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -583,6 +584,32 @@ def stream_current_(spark, sf):
     return _placed_facts(house, "fact_current_weather", "weather_id")
 
 
+@query
+def parallel_loads(spark, sf):
+    """Both loads at once into one empty warehouse: every row with the place and day that its ids lead to."""
+    root = scratch_dir(spark)
+    house = loads.Warehouse(spark, f"{root}/house")
+    landing.land(landing.landed_current(spark, sf), f"{root}/current")
+    landing.land(landing.landed_hourly(spark, sf), f"{root}/hourly")
+    with ThreadPoolExecutor(2) as pool:
+        jobs = [
+            pool.submit(loads.load_current, house, read_current(spark, f"{root}/current"), "1", _now()),
+            pool.submit(loads.load_forecast, house, read_hourly(spark, f"{root}/hourly"), "1", _now()),
+        ]
+        for job in jobs:
+            job.result()
+    places, days = house.read("dim_location"), house.read("dim_date")
+    parts = [
+        places.select(F.lit("dim_location").alias("table_name"), "latitude", "longitude", F.lit(None).cast("date").alias("date"), F.lit(None).cast("timestamp_ntz").alias("at")),
+        days.select(F.lit("dim_date"), F.lit(None), F.lit(None), "date", F.lit(None)),
+    ]
+    for table, time_col in (("fact_current_weather", "observation_time"), ("fact_hourly_forecast", "forecast_time")):
+        placed = house.read(table).join(places.select("location_id", "latitude", "longitude"), "location_id", "left")
+        dated = placed.join(days.select("date_id", "date"), "date_id", "left")
+        parts.append(dated.select(F.lit(table), "latitude", "longitude", "date", time_col))
+    return reduce(DataFrame.union, parts)
+
+
 def _placed_facts(house: loads.Warehouse, table: str, id_col: str) -> DataFrame:
     """Facts with their place's name, and what their ids tell instead of the ids."""
     fact = house.read(table).join(
