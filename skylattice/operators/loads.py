@@ -19,14 +19,14 @@ from pyspark.sql import types as T
 from skylattice.functions.times import ny_now
 from skylattice.operators import quality
 from skylattice.operators.dims import get_or_create_date, new_dates, upsert_location
-from skylattice.operators.merge import merge_frames
+from skylattice.operators.merge import cascade_delete, cascaded, merge_frames
 from skylattice.operators.storage import (
     Change, Snapshot, days_of, hold, partition_of, pinned, read_batches, read_mart, read_stored,
     replace_partitions, sink_batch, snapshot, update, version_exists,
 )
 from skylattice.plans import marts
 from skylattice.schemas import (
-    CURRENT_METRICS, FACT_CURRENT, FACT_FORECAST, FORECAST_METRICS, TABLES,
+    CURRENT_METRICS, FACT_CURRENT, FACT_FORECAST, FOREIGN_KEYS, FORECAST_METRICS, TABLES, UNIQUE_KEYS,
 )
 from skylattice.session import scratch
 from skylattice.sources.responses import flatten_current, flatten_hourly, route_rejects
@@ -398,6 +398,33 @@ def _newest_run(
     return Change(rows, replaced, read=lambda p: True), ignored, base.rows(older)
 
 
+def delete_places(house: Warehouse, gone: DataFrame) -> None:
+    """Delete the places of ``gone`` (location_id) with all that refers to them.
+
+    Of a fact only the partitions are written anew that hold such a place; they
+    are told by a scan of the two columns. Facts go before their place, so that a
+    stop leaves no row without one, and once more after it, for what a load has
+    stored meanwhile. Deleting again changes nothing.
+    """
+    with scratch(house.spark) as stage:
+        gone = stage(gone.select("location_id").distinct())
+        facts = [t for t, keys in FOREIGN_KEYS.items() if "location_id" in keys]
+        for table in [*facts, "dim_location", *facts]:
+            columns = PARTITIONS.get(table, [])
+
+            def without(base: Snapshot, table=table, columns=columns) -> Change | None:
+                rows = house.stored(table, at=base)
+                held = cascaded(rows, gone).select(*[F.col(c).cast("string").alias(c) for c in columns], F.lit(1).alias("one"))
+                found = [{c: row[c] for c in columns} for row in held.distinct().collect()]
+                if not found:
+                    return None
+                holds = lambda partition: partition in found
+                return Change(cascade_delete(house.stored(table, holds, at=base), gone), holds, read=lambda p: True)
+
+            time_col = [UNIQUE_KEYS[table][-1]] if columns else []
+            update(house.spark, house.path(table), without, columns, ["location_id", *time_col] if columns else [])
+
+
 #: How a mart is built: from a fact, by day of its time.
 MARTS = {
     "weather_readings": (marts.weather_readings, "fact_current_weather", "observation_time_est"),

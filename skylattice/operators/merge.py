@@ -160,6 +160,12 @@ def assign_fact_keys(
     ).drop("_day")
 
 
+def cascaded(fact: DataFrame, deleted_locations: DataFrame) -> DataFrame:
+    """The rows of ``fact`` that go with deleted locations."""
+    gone = deleted_locations.select("location_id").distinct()
+    return fact.join(gone, "location_id", "left_semi")
+
+
 def cascade_delete(fact: DataFrame, deleted_locations: DataFrame) -> DataFrame:
     """``fact`` without the rows of deleted locations."""
     gone = deleted_locations.select("location_id").distinct()

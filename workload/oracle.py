@@ -586,17 +586,22 @@ BODIES: dict[str, str] = {
         ["neighborhood_name", "forecast_time", *FORECAST_METRICS, "created_at", *ID_CHECK], f"""(
         SELECT *, TIMESTAMP '{NOW}' AS created_at, {id_check('forecast_time')}
         FROM ({last_response('landed_hourly', 'half')}))"""),
-    "parallel_loads": f"""
-        WITH readings AS (SELECT DISTINCT latitude, longitude, observation_time AS at FROM landed_current WHERE reason IS NULL),
-             hours AS (SELECT latitude, longitude, forecast_time AS at FROM ({last_response('landed_hourly', 'arrival_seq')})),
-             known AS (SELECT latitude, longitude, at FROM readings
+    "parallel_loads": f"""SELECT * FROM (
+        WITH readings AS (SELECT DISTINCT latitude, longitude, observation_time AS moment FROM landed_current WHERE reason IS NULL),
+             hours AS (SELECT latitude, longitude, forecast_time AS moment FROM ({last_response('landed_hourly', 'arrival_seq')})),
+             known AS (SELECT latitude, longitude, moment FROM readings
                        UNION ALL SELECT latitude, longitude, forecast_time FROM landed_hourly WHERE reason IS NULL),
              found AS (
-                SELECT DISTINCT 'dim_location' AS table_name, latitude, longitude, CAST(NULL AS DATE) AS date, CAST(NULL AS TIMESTAMP) AS at FROM known
-                UNION ALL SELECT DISTINCT 'dim_date', NULL, NULL, CAST(at AS DATE), NULL FROM known
-                UNION ALL SELECT 'fact_current_weather', latitude, longitude, CAST(at AS DATE), at FROM readings
-                UNION ALL SELECT 'fact_hourly_forecast', latitude, longitude, CAST(at AS DATE), at FROM hours)
-        SELECT table_name, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, date, at FROM found""",
+                SELECT DISTINCT 'dim_location' AS table_name, latitude, longitude, CAST(NULL AS DATE) AS date, CAST(NULL AS TIMESTAMP) AS moment FROM known
+                UNION ALL SELECT DISTINCT 'dim_date', NULL, NULL, CAST(moment AS DATE), NULL FROM known
+                UNION ALL SELECT 'fact_current_weather', latitude, longitude, CAST(moment AS DATE), moment FROM readings
+                UNION ALL SELECT 'fact_hourly_forecast', latitude, longitude, CAST(moment AS DATE), moment FROM hours)
+        SELECT table_name, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, date, moment FROM found)""",
+    "cascade_delete_stored": " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, location_id, count(*) AS n_rows FROM {source}
+            WHERE location_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY location_id"""
+        for name, source in [
+            ("dim_location", "places"), ("fact_current_weather", "fact_current"), ("fact_hourly_forecast", "fact_forecast")]),
     # column functions
     "c_to_f": on_current("temp_fahrenheit", "temp_fahrenheit"),
     "mps_to_mph": on_current("wind_speed_mph", "wind_speed_mph"),

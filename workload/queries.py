@@ -352,6 +352,31 @@ def run_checks(spark, sf):
     return report.join(stored, ["table_name", "check_name", "column_name"], "left").na.fill(0, ["n_stored"])
 
 
+@query
+def cascade_delete_stored(spark, sf):
+    """Places deleted from a stored star; the rows that are left of them and of both facts, by place."""
+    house = loads.Warehouse(spark, f"{scratch_dir(spark)}/house")
+    hours = t.fact_forecast(spark, sf).withColumn("forecast_time", F.expr(t.WITHIN_A_MONTH.format(time="forecast_time", kind="TIMESTAMP_NTZ")))
+    tables = {
+        "dim_location": t.locations(spark, sf),
+        "fact_current_weather": t.fact_current(spark, sf)
+        .withColumn("observation_time", F.expr(t.WITHIN_A_MONTH.format(time="observation_time", kind="TIMESTAMP_NTZ")))
+        .withColumn("part_date", F.to_date("observation_time")),
+        "fact_hourly_forecast": hours.withColumns({
+            "arrival": F.lit(None).cast(loads.ARRIVAL), "run_id": F.lit(1).cast("bigint"), "part_date": F.to_date("forecast_time"),
+        }),
+    }
+    for name, df in tables.items():
+        storage.replace_table(df.select(*loads.STORED[name].names), house.path(name), loads.PARTITIONS.get(name, ()))
+    gone = t.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("location_id"))
+    loads.delete_places(house, gone)
+    parts = [
+        house.read(name).groupBy("location_id").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "location_id", "n_rows")
+        for name in tables
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @query
 def run_report(spark, sf):
     """A current load, a forecast load, both marts and the checks, then the report on them."""
@@ -600,7 +625,7 @@ def parallel_loads(spark, sf):
             job.result()
     places, days = house.read("dim_location"), house.read("dim_date")
     parts = [
-        places.select(F.lit("dim_location").alias("table_name"), "latitude", "longitude", F.lit(None).cast("date").alias("date"), F.lit(None).cast("timestamp_ntz").alias("at")),
+        places.select(F.lit("dim_location").alias("table_name"), "latitude", "longitude", F.lit(None).cast("date").alias("date"), F.lit(None).cast("timestamp_ntz").alias("moment")),
         days.select(F.lit("dim_date"), F.lit(None), F.lit(None), "date", F.lit(None)),
     ]
     for table, time_col in (("fact_current_weather", "observation_time"), ("fact_hourly_forecast", "forecast_time")):
