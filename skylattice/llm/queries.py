@@ -47,7 +47,8 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every fiftieth vector with all others."""
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return topk.top_k(embeddings, embeddings.where("vec_id % 50 = 0"), k=5)
+    found = topk.top_k(embeddings, embeddings.where("vec_id % 50 = 0"), k=5)
+    return found.withColumn("score", F.col("score").try_cast("long"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,7 @@ ORACLE_SQL: dict[str, str] = {
                 and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
         scored as (
             select q.vec_id query_id, x.vec_id, list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2]))::bigint score
-            from vectors q join vectors x on q.vec_id % 50 = 0 and q.vec_id <> x.vec_id),
+            from vectors q join vectors x on q.vec_id % 50 = 0 and q.vec_id <> x.vec_id and len(q.v) = len(x.v)),
         ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer rank from scored)
         select query_id, rank, vec_id, score from ranked where rank <= 5""",
     "op8_line_dedup": line_dedup.plain_sql(),
