@@ -12,14 +12,15 @@ into maximal runs, and every later occurrence is deleted. A line goes if and onl
 if it lies in a run of ``MIN_WORDS`` words or more that has occurred before.
 
 Everything is DataFrame functions. A line that a third of all documents share is
-one group of an aggregate, which is combined before the shuffle; the join back to
-the places is left to the optimizer, which splits skewed partitions. The texts are
-shuffled once, for the lines to delete.
+one group of an aggregate, which is combined before the shuffle. The aggregates are
+stored, so that the joins back to the places are ones whose skewed partitions Spark
+splits. The texts are shuffled once, for the lines to delete.
 
 A null or empty text has no lines and stays as it is. Blank lines stay. Rows
 without a doc_id are neither sources nor changed. Rows that repeat a doc_id are
 told apart by their texts; of fully equal rows none is later than the other, and
-both keep their lines. Other columns are passed through.
+both keep their lines. Other columns are passed through, but for own ones with the
+names of the two that are added, which are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from skylattice.llm.workspace import Workspace
 
 MIN_WORDS = 50
+ADDED = ("dedup_lines", "dedup_removed")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -88,9 +90,10 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS, work: Worksp
     work.drop(hashed)
     place = F.struct("doc_id", "tag", "first")
     # A fingerprint at one place only, or of one window only, cannot be part of a repeated run.
-    marks = found.groupBy("mark").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("mark")
+    marks = work.stage(found.groupBy("mark").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("mark"))
     open_ = found.join(marks, "mark", "left_semi")
     source = open_.groupBy("key", "again").agg(F.min(place).alias("source"), F.max(place).alias("hi")).where("source <> hi").drop("hi")
+    source = work.stage(source)
     later = open_.join(source, ["key", "again"]).where(place != F.col("source"))
     later = later.select(
         "doc_id", "tag", "first", "last", F.col("source.doc_id").alias("source"), F.col("source.tag").alias("source_tag"),
@@ -119,7 +122,7 @@ def remove_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> D
     ))
     # What is gone grows with the documents, so it is never broadcast: the plan is the same at every size.
     same = (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_tag"))
-    rows = documents.join(gone.hint("merge"), same, "left")
+    rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "text").join(gone.hint("merge"), same, "left")
     rows = rows.withColumn("dedup__all", F.split("text", "\n")).withColumn("dedup__solid", F.expr(
         f"filter(sequence(0, size(dedup__all) - 1), i -> regexp_like(dedup__all[i], r'{WORD}'))"
     ))
@@ -129,7 +132,7 @@ def remove_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> D
     )
     clean = F.expr(f"if(dedup__gone is null, text, {left})")
     return rows.select(
-        *(clean.alias("text") if c == "text" else c for c in documents.columns),
+        *(clean.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns if c not in ADDED),
         F.expr("if(text is null, 0, size(dedup__solid))").cast("long").alias("dedup_lines"),
         F.expr("if(dedup__gone is null, 0, size(dedup__gone))").cast("long").alias("dedup_removed"),
     )
