@@ -18,7 +18,10 @@ Tokens are runs of other than white space. A null or empty text has none and is
 taken with the prefix that it lies in. Null sources and languages are leaves of
 their own ('unknown'), as are unlisted ones at the default weight; weights that
 are zero take nothing. Documents with the same id and seed stand at the same
-place and are taken together or not at all. Other columns are passed through.
+place and are taken together or not at all. Rows without an id are numbered as they
+are read, and text and number give each a place of its own: how many are taken does
+not depend on the numbers, which of them does. Other columns are passed through, but
+for own ones with names of those that are added, which are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from skylattice.llm.workspace import Workspace
 
 SLICE_DIGITS = 3
 LEVELS = ("domain", "lang", "source")
+ADDED = ("mix_domain", "mix_lang", "mix_source", "mix_epoch", "mix_tokens", "mix_share")
 
 #: Production weights; a name that is not listed has weight 1.
 WEIGHTS: dict[str, Mapping[str, float]] = {
@@ -74,7 +78,16 @@ def tokens_of(text: str = "text") -> Column:
 
 def place_of(epoch: Column, seed: int) -> Column:
     """Place of a document in the order of an epoch, 32 hexadecimal digits."""
-    return F.md5(F.concat_ws("/", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return F.md5(F.concat_ws("/", F.lit(str(seed)), epoch.cast("string"), "known"))
+
+
+def known_rows(documents: DataFrame, work: Workspace) -> DataFrame:
+    """(row, lang, source, text, known): what tells a document apart, its id or else its text and a stored number."""
+    rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "lang", "source", "text")
+    lost = rows.where("doc_id is null").withColumn("number", F.monotonically_increasing_id())
+    lost = work.stage(lost.drop("doc_id")).withColumn("known", F.concat_ws("/", F.lit(""), F.md5("text"), F.col("number").cast("string")))
+    rows = rows.where("doc_id is not null").withColumn("known", F.col("doc_id").cast("string"))
+    return rows.drop("doc_id").unionByName(lost.drop("number"))
 
 
 def deal(children: DataFrame, parent: list[str]) -> DataFrame:
@@ -118,7 +131,8 @@ def select_prefixes(documents: DataFrame, total_share: float = BUDGET_SHARE, wei
     """
     leaf = list(LEVELS)
     work = Workspace(documents.sparkSession)
-    slim = work.stage(named(documents).select("doc_id", *leaf, tokens_of().alias("tokens")))
+    rows = known_rows(documents, work)
+    slim = work.stage(named(rows).select("known", *leaf, tokens_of().alias("tokens")))
     held = work.stage(slim.groupBy(*leaf).agg(F.sum("tokens").alias("tokens")))
 
     # A leaf's budget covers `passed` whole epochs and ends `rest` tokens into the next one.
@@ -137,19 +151,18 @@ def select_prefixes(documents: DataFrame, total_share: float = BUDGET_SHARE, wei
     ends = work.stage(goal.join(stop, leaf, "left").select(*leaf, "passed", "rest", "share", "stop"))
     work.drop(slim, held, goal)
 
-    rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "lang", "source", "text")
     taken = named(rows).join(ends, leaf)
     begun = (F.col("rest") > 0) & (F.col("stop").isNull() | (place_of(F.col("passed"), seed) < F.col("stop")))
     taken = taken.withColumn("mix_count", F.col("passed") + F.when(begun, 1).otherwise(0)).where("mix_count > 0")
     taken = taken.select("*", F.explode(F.expr("sequence(0, mix_count - 1)")).alias("mix_epoch"))
     return taken.select(
-        "row.*", *(F.col(c).alias(f"mix_{c}") for c in leaf), "mix_epoch", tokens_of().alias("mix_tokens"),
+        *(F.col("row")[c].alias(c) for c in documents.columns if c not in ADDED), *(F.col(c).alias(f"mix_{c}") for c in leaf), "mix_epoch", tokens_of().alias("mix_tokens"),
         F.round("share", 3).alias("mix_share"),
     )
 
 
 def plain_sql(total_share: float = BUDGET_SHARE, weights: Mapping[str, Mapping[str, float]] = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> str:
-    """The same selection in SQL for DuckDB: every leaf sorted whole, levels of the tree one after the other."""
+    """The same selection in SQL for DuckDB, for tables where every row has an id: every leaf sorted whole, levels of the tree one after the other."""
 
     def weight(level: str) -> str:
         cases = " ".join(f"when '{name}' then {value}" for name, value in weights.get(level, {}).items())
