@@ -33,7 +33,7 @@ BUCKETS = 4096
 GRAMS = (3, 4)
 STEPS = 20
 RATE = 0.5
-LABELLED = 2000
+LABELLED = 2000  # of each verdict
 
 #: (host, path, verdict); fixed values.
 RULES = [
@@ -108,11 +108,13 @@ def train(labelled: DataFrame, steps: int = STEPS, rate: float = RATE, buckets:
 
 
 def by_rule(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, limit: int = LABELLED) -> DataFrame:
-    """A small labelled table (url, blocked): at most ``limit`` URLs that a rule decides, those with the smallest hashes."""
+    """A small labelled table (url, blocked): at most ``limit`` URLs of each verdict of a rule, those with the smallest hashes."""
     host, path = parts()
     found = pages.where("url is not null").select("url", host.alias("host"), path.alias("path"))
     found = found.select("url", rule_for(rules)["verdict"].alias("verdict")).where("verdict is not null").distinct()
-    return found.orderBy(F.xxhash64("url"), "url").limit(limit).select("url", (F.col("verdict") == "block").cast("int").alias("blocked"))
+    found = found.withColumn("blocked", (F.col("verdict") == "block").cast("int")).drop("verdict")
+    drawn = [found.where(F.col("blocked") == kind).orderBy(F.xxhash64("url"), "url").limit(limit) for kind in (0, 1)]
+    return drawn[0].union(drawn[1]).select("url", "blocked")
 
 
 def judge(pages: DataFrame, model: tuple[list[float], float] | None, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
