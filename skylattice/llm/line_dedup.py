@@ -122,7 +122,8 @@ def remove_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> D
     ))
     # What is gone grows with the documents, so it is never broadcast: the plan is the same at every size.
     same = (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_tag"))
-    rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", "text").join(gone.hint("merge"), same, "left")
+    own = [c for c in documents.columns if c != "text" and c not in ADDED]
+    rows = documents.select(F.struct(*own).alias("row"), "doc_id", "text").join(gone.hint("merge"), same, "left")
     rows = rows.withColumn("dedup__all", F.split("text", "\n")).withColumn("dedup__solid", F.expr(
         f"filter(sequence(0, size(dedup__all) - 1), i -> regexp_like(dedup__all[i], r'{WORD}'))"
     ))
