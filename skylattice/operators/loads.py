@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylattice.functions.times import ny_now
-from skylattice.operators import quality
+from skylattice.operators import quality, reports
 from skylattice.operators.dims import get_or_create_date, new_dates, upsert_location
 from skylattice.operators.merge import cascade_delete, cascaded, merge_frames
 from skylattice.operators.storage import (
@@ -28,7 +28,7 @@ from skylattice.plans import marts
 from skylattice.schemas import (
     CURRENT_METRICS, FACT_CURRENT, FACT_FORECAST, FOREIGN_KEYS, FORECAST_METRICS, TABLES, UNIQUE_KEYS,
 )
-from skylattice.session import scratch
+from skylattice.session import materialize, scratch
 from skylattice.sources.responses import flatten_current, flatten_hourly, route_rejects
 from skylattice.sources.tables import schema_drift
 
@@ -508,12 +508,26 @@ def _days_of_changed_dims(house: Warehouse, fact: str, built: dict[str, int], at
     return days
 
 
-def run_checks(house: Warehouse, batch_id: str, now: Column | None = None) -> DataFrame:
-    """Check every table of the warehouse; violations are stored, and a row per check returned."""
+def run_checks(house: Warehouse, batch_id: str, now: Column | None = None, whole: bool = False) -> DataFrame:
+    """Check every table of the warehouse; violations are stored, and a row per check returned.
+
+    What is wrong with a day is kept with the folders that it was found in. Only
+    days with other folders are read again, and days that refer to a place or a
+    day which has gone or was missing; the report is that of a check of all, which
+    ``whole`` makes. A unique key holds its day, so that no key lies in two of them.
+    """
     now = ny_now() if now is None else now
-    tables = {name: house.read(name) for name in TABLES}
-    with scratch(house.spark) as stage:
-        failures = stage(quality.violations(tables))
+    with pinned(house.spark, house.root, list(TABLES)) as at, scratch(house.spark) as stage:
+        tables = {name: house.read(name, at[name]) for name in TABLES}
+        state = house.path("check_state")
+        made = update(
+            house.spark, state, lambda base: _checked_again(house, tables, base, at, whole), CHECK_STATE_PARTITIONS
+        )
+        dims = {d: at[d] for d in DIMS}
+        if made.notes["dims"] == {d: s.number for d, s in dims.items()}:
+            hold(house.spark, house.root, dims, "checks")
+        known = read_stored(house.spark, state, CHECK_STATE, CHECK_STATE_PARTITIONS, at=made)
+        failures = stage(known.groupBy(*quality.FAILURES.names[:-1]).agg(F.sum("n_rows").alias("n_rows")))
         sink_batch(failures, house.path("check_failures"), batch_id)
         report = quality.check_report(tables, failures)
         report = house.spark.createDataFrame(report.collect(), report.schema)
@@ -522,6 +536,95 @@ def run_checks(house: Warehouse, batch_id: str, now: Column | None = None) -> Da
     return report
 
 
+#: What broke a constraint, by the day of its rows; tables that are not stored by day are one day, ``all``.
+CHECK_STATE = T.StructType([*quality.FAILURES, T.StructField("checked_day", T.StringType())])
+CHECK_STATE_PARTITIONS = ["table_name", "checked_day"]
+
+
+def _check_day(partition: dict[str, str]) -> str:
+    day = partition.get("part_date", "all")
+    return "none" if day.startswith("__HIVE") else day
+
+
+def _checked_again(
+    house: Warehouse, tables: dict[str, DataFrame], base: Snapshot, at: dict[str, Snapshot], whole: bool
+) -> Change | None:
+    """The state of the checks after what has changed since ``base`` was checked; None if nothing has."""
+    sources: dict[str, dict[str, list[str]]] = {name: {} for name in TABLES}
+    for name in TABLES:
+        for folder in sorted(at[name].folders):
+            sources[name].setdefault(_check_day(partition_of(folder)), []).append(folder)
+    known = base.notes.get("days", {name: {} for name in TABLES})
+    days = {name: {*sources[name], *known[name]} for name in TABLES}
+    if not whole and base.number:
+        moved = _days_of_moved_keys(house, tables, base, at)
+        days = {
+            name: {d for d in days[name] if sources[name].get(d) != known[name].get(d) or d in moved.get(name, days[name])}
+            for name in TABLES
+        }
+    if base.number and not any(days.values()):
+        return None
+    parts = {}
+    for name in TABLES:
+        day = F.coalesce(F.col("part_date").cast("string"), F.lit("none")) if name in PARTITIONS else F.lit("all")
+        if days[name]:
+            rows = house.stored(name, lambda p, name=name: _check_day(p) in days[name], at=at[name])
+            parts[name] = rows.withColumn("checked_day", day).select(*TABLES[name].names, "checked_day")
+    found = quality.violations(parts or {n: df.limit(0).withColumn("checked_day", F.lit("all")) for n, df in tables.items()}, ["checked_day"], tables)
+    notes = {"days": sources, "dims": {d: at[d].number for d in DIMS}}
+    return Change(found, lambda p: p["checked_day"] in days[p["table_name"]], read=lambda p: True, notes=notes)
+
+
+def _days_of_moved_keys(
+    house: Warehouse, tables: dict[str, DataFrame], base: Snapshot, at: dict[str, Snapshot]
+) -> dict[str, set[str]]:
+    """Days of each fact with rows whose place or day has gone since ``base``, or was missing then.
+
+    A fact is left out if the versions of that time are no longer there to tell.
+    """
+    state = read_stored(house.spark, house.path("check_state"), CHECK_STATE, CHECK_STATE_PARTITIONS, at=base)
+    days: dict[str, set[str]] = {name: set() for name in TABLES}
+    for fact, keys in FOREIGN_KEYS.items():
+        for key, dim in keys.items():
+            before = base.notes["dims"][dim]
+            if before == at[dim].number:
+                continue
+            if not version_exists(house.spark, house.path(dim), before):
+                days.pop(fact, None)
+                break
+            missing = state.filter((F.col("table_name") == fact) & (F.col("check_name") == "foreign_key") & (F.col("column_name") == key))
+            days[fact] |= days_of(missing, "checked_day")
+            gone = house.read(dim, snapshot(house.spark, house.path(dim), before)).select(key)
+            gone = gone.join(tables[dim].select(key), key, "left_anti")
+            if not gone.isEmpty():
+                day = F.coalesce(F.col("part_date").cast("string"), F.lit("none")) if fact in PARTITIONS else F.lit("all")
+                rows = house.stored(fact, at=at[fact]).withColumn("checked_day", day).select(key, "checked_day")
+                days[fact] |= days_of(rows.join(gone, key, "left_semi"), "checked_day")
+    return days
+
+
+def latest_readings(house: Warehouse, stage: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
+    """The newest reading of every neighbourhood name, from the last days of the stored mart."""
+    at = house.snapshot("weather_readings")
+    built = at.notes.get("dims", {}).get("dim_location", 0)
+    if not at.number or not version_exists(house.spark, house.path("dim_location"), built):
+        return reports.latest_per_neighborhood(house.mart("weather_readings", at=at))
+    # All names that the mart shows are those of the places that it was built from.
+    places = house.read("dim_location", snapshot(house.spark, house.path("dim_location"), built))
+    return reports.latest_by_day(
+        {partition_of(f)["date"] for f in at.folders},
+        lambda days: house.mart("weather_readings", at=at, chosen=lambda p: p["date"] in days), places, stage,
+    )
+
+
+def forecast_horizon(
+    house: Warehouse, days: int, stage: Callable[[DataFrame], DataFrame] = materialize
+) -> DataFrame:
+    """What the forecast page shows of the next ``days`` days of every neighbourhood."""
+    page = house.mart("forecast").select(*reports.FORECAST_PAGE, "date")
+    return reports.filter_horizon(page, days, stage, "date").select(*reports.FORECAST_PAGE)
+
+
 def read_rejects(house: Warehouse, feed: str) -> DataFrame:
     """Stored rejects of ``current`` or ``forecast`` responses, with their batch."""
     return read_batches(house.spark, house.path(f"rejects_{feed}"), REJECTS)

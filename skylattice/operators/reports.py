@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,6 +64,31 @@ def latest_per_neighborhood(readings: DataFrame) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).select(*LATEST)
 
 
+def latest_by_day(
+    days: Iterable[str], read: Callable[[set[str]], DataFrame], places: DataFrame,
+    stage: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``latest_per_neighborhood`` of readings that are stored by the day of their time.
+
+    ``read`` gives the rows of some days. They are read from the last day
+    backwards, one day first and twice as many each time, without the names found
+    already, until all names of ``places`` are found or no day is left: as many
+    steps as the doubling takes, and no older day while all places report. A
+    place that has never reported makes it read all days.
+    """
+    left, parts, size = stage(places.select("neighborhood_name").distinct()), [], 1
+    order = sorted(days, reverse=True)
+    while order and (not parts or not left.isEmpty()):
+        group, order, size = set(order[:size]), order[size:], 2 * size
+        rows = read(group)
+        # A name that is NULL is one of its own.
+        rows = rows.join(left.select(F.col("neighborhood_name").alias("_name")), F.col("neighborhood_name").eqNullSafe(F.col("_name")), "left_semi")
+        parts.append(stage(latest_per_neighborhood(rows)))
+        known = parts[-1].select(F.col("neighborhood_name").alias("_name"))
+        left = stage(left.join(known, F.col("neighborhood_name").eqNullSafe(F.col("_name")), "left_anti"))
+    return reduce(DataFrame.union, parts) if parts else latest_per_neighborhood(read(set()))
+
+
 def current_table(latest: DataFrame) -> DataFrame:
     return latest.select(*[F.col(c).alias(label) for c, label in CURRENT_TABLE.items()])
 
@@ -98,19 +124,25 @@ def current_card(latest: DataFrame) -> DataFrame:
 
 def filter_horizon(
     forecast: DataFrame, days: int,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df, date: str | None = None,
 ) -> DataFrame:
     """Rows within ``days`` days of their neighbourhood's first hour, end excluded.
 
     The starts are aggregated and joined back rather than taken over a window,
     which would sort each neighbourhood whole in one task. Nothing runs before
     the result is asked for, unless the caller's ``stage`` writes the starts out,
-    from whose true size the join is then planned.
+    from whose true size the join is then planned. If ``date`` names a column with
+    the day of each row, which a stored mart is partitioned by, only the days from
+    the first start to the last end are read; they are told when the scan begins.
     """
     if days not in HORIZONS:
         raise ValueError(f"days must be in {HORIZONS.start}..{HORIZONS.stop - 1}")
     starts = stage(series_start(forecast))
     cutoff = F.col("series_start") + F.make_dt_interval(days=F.lit(days))
+    if date is not None:
+        first = starts.agg(F.to_date(F.min("series_start"))).scalar()
+        last = starts.agg(F.to_date(F.max(cutoff))).scalar()
+        forecast = forecast.filter((F.col(date) >= first) & (F.col(date) <= last))
     joined = forecast.join(starts, "neighborhood_name").filter(F.col("forecast_time") < cutoff)
     return joined.select(*forecast.columns)
 

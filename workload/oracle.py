@@ -549,6 +549,9 @@ BODIES: dict[str, str] = {
     "filter_horizon": out(FORECAST_PAGE, f"""(
         SELECT * FROM (SELECT *, min(forecast_time) OVER (PARTITION BY neighborhood_name) AS first
                        FROM hours) WHERE forecast_time < first + INTERVAL '7' DAY)"""),
+    "horizon_stored": out(FORECAST_PAGE, f"""(
+        SELECT * FROM (SELECT *, min(forecast_time) OVER (PARTITION BY neighborhood_name) AS first
+                       FROM hours) WHERE forecast_time < first + INTERVAL '7' DAY)"""),
     "join_feature_weather": out(
         ["hood", "geometry", "has_data", "fill_color", *POPUP, "wind_direction"], f"""(
         SELECT f.hood, f.geometry, w.neighborhood_name IS NOT NULL AS has_data,
@@ -564,6 +567,7 @@ BODIES: dict[str, str] = {
     "distinct_neighborhoods": "SELECT DISTINCT neighborhood_name FROM hours "
                               "ORDER BY neighborhood_name",
     "latest_per_neighborhood": out(LATEST, f"({latest('shared_readings', LATEST)})"),
+    "latest_stored": out(LATEST, f"({latest('shared_readings', LATEST)})"),
     "dedupe_last_wins": out(
         ["location_id", "date_id", "observation_time", *CURRENT_METRICS, "event_id"],
         f"({last_wins('batch_current', 'location_id, observation_time', ['event_id'])})"),

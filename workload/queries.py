@@ -542,6 +542,28 @@ def filter_horizon(spark, sf):
     return reports.filter_horizon(page, 7, materialize)
 
 
+@query
+def latest_stored(spark, sf):
+    """The newest readings from a stored mart, read from its last days backwards."""
+    path, name = f"{scratch_dir(spark)}/weather_readings", "weather_readings"
+    storage.sink_mart(_shared_readings(spark, sf), path, ["neighborhood_name", "observation_time_est"])
+    at, schema = storage.snapshot(spark, path), marts.mart_schema(spark, name)
+    return reports.latest_by_day(
+        {storage.partition_of(f)["date"] for f in at.folders},
+        lambda days: storage.read_mart(spark, path, schema, at=at, chosen=lambda p: p["date"] in days),
+        t.shared_name_locations(spark, sf), materialize,
+    )
+
+
+@query
+def horizon_stored(spark, sf):
+    """The forecast page's week from a stored mart, of which only the days in question are read."""
+    path = f"{scratch_dir(spark)}/forecast"
+    storage.sink_mart(t.forecast_mart(spark, sf), path, ["neighborhood_name", "forecast_time"])
+    page = storage.read_mart(spark, path, marts.mart_schema(spark, "forecast")).select(*reports.FORECAST_PAGE, "date")
+    return reports.filter_horizon(page, 7, materialize, "date").select(*reports.FORECAST_PAGE)
+
+
 @query
 def join_feature_weather(spark, sf):
     latest = reports.latest_per_neighborhood(_readings(spark, sf))
