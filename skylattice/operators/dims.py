@@ -19,8 +19,9 @@ COORDS = ["latitude", "longitude"]
 def upsert_location(
     locations: DataFrame, batch: DataFrame, arrival: list[str], now: Column,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    start: Column | None = None,
 ) -> DataFrame:
-    """``locations`` after taking in the places of ``batch``.
+    """``locations`` after taking in the places of ``batch``; new ids count on from ``start`` or the highest one.
 
     A known coordinate pair keeps its id, zone and ``created_at`` and takes the
     incoming name; ``updated_at`` moves to ``now`` even if the name is the same.
@@ -37,7 +38,7 @@ def upsert_location(
         "int",
         order=[digest(*COORDS), *[F.col(c) for c in COORDS]],
         bucket=digest_bucket(*COORDS),
-        start=_highest(locations, "location_id"),
+        start=_highest(locations, "location_id") if start is None else start,
     ).withColumns({"timezone": F.lit(DEFAULT_TIMEZONE), "created_at": now})
     return updated.unionByName(added).select(*DIM_LOCATION.names)
 

@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from skylattice.functions.times import ny_now
 from skylattice.operators import quality, reports
-from skylattice.operators.dims import get_or_create_date, new_dates, upsert_location
-from skylattice.operators.merge import cascade_delete, cascaded, merge_frames
+from skylattice.operators.dims import COORDS, get_or_create_date, new_dates, upsert_location
+from skylattice.operators.merge import cascade_delete, cascaded, dedupe_last_wins, digest, merge_frames
 from skylattice.operators.storage import (
     Change, Snapshot, days_of, hold, partition_of, pinned, read_batches, read_mart, read_stored,
     replace_partitions, sink_batch, snapshot, update, version_exists,
@@ -57,6 +57,8 @@ STORED = {
 PARTITIONS = {
     "fact_current_weather": ["part_date"], "fact_hourly_forecast": ["run_id", "part_date"],
 }
+# Places lie in folders by the first digits of their coordinates' digest, a column that only the folders have.
+BUCKET = "bucket"
 
 # One row per load or build; counts that a kind of load has none of are NULL.
 SUMMARY = T.StructType([
@@ -80,6 +82,8 @@ class Warehouse:
 
     spark: SparkSession
     root: str
+    #: Places are stored in 16 ** bucket_digits folders; more digits are for more places and take effect as folders are rewritten.
+    bucket_digits: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -215,25 +219,67 @@ def load_summary(
     return summary.withColumn("finished_at", now)
 
 
+def _bucket(house: Warehouse) -> Column:
+    return F.substring(digest(*COORDS), 1, house.bucket_digits)
+
+
+def _holding(buckets: set[str]) -> Callable[[dict[str, str]], bool]:
+    """Whether a folder may hold places of the buckets; one of fewer digits, or of none, holds several."""
+    def holds(partition: dict[str, str]) -> bool:
+        name = partition.get(BUCKET, "")
+        return any(b.startswith(name) or name.startswith(b) for b in buckets)
+    return holds
+
+
+#: What the log notes of a folder whose ids its counter has seen.
+COUNTED = {"counted": True}
+
+
+def _highest_place(house: Warehouse, base: Snapshot) -> int:
+    """The highest id given so far, by the counter in the log; ids that other writers have stored are looked up."""
+    highest = base.notes.get("location_id", 0)
+    if all(entry.get("counted") for entry in base.folders.values()):
+        return highest
+    return max(highest, house.stored("dim_location", at=base).agg(F.max("location_id")).first()[0] or 0)
+
+
 def _update_dims(
     house: Warehouse, valid: DataFrame, time_col: str, now: Column,
     stage: Callable[[DataFrame], DataFrame],
-) -> None:
-    """Bring places and days up to date; taken up again if another load has published in between."""
+) -> tuple[DataFrame, DataFrame]:
+    """Bring places and days up to date; taken up again if another load has published in between.
+
+    Only the buckets that the batch has places in are read and written. Returns
+    the ids of the places and days of the batch, as copies that no publication clears.
+    """
     # The hours of a response share its place, so one of them stands for all.
     places = valid.filter("hour_pos = 0") if "hour_pos" in valid.columns else valid
+    places = stage(dedupe_last_wins(places.select("neighborhood_name", *COORDS, *CURRENT_ARRIVAL), COORDS, CURRENT_ARRIVAL))
+    days = stage(valid.select(F.to_date(time_col).alias("date")).distinct())
+    buckets = {row[0] for row in places.select(_bucket(house)).distinct().collect()}
+    touched = _holding(buckets)
 
-    def with_places(base: Snapshot) -> Change:
-        stored = house.stored("dim_location", at=base)
-        return Change(upsert_location(stored, places, CURRENT_ARRIVAL, now, stage), lambda p: True)
+    def with_places(base: Snapshot) -> Change | None:
+        if not buckets:
+            return None
+        stored, highest = house.stored("dim_location", touched, at=base), _highest_place(house, base)
+        after = stage(upsert_location(stored, places, CURRENT_ARRIVAL, now, start=F.lit(highest)))
+        top = after.agg(F.max("location_id")).first()[0] or 0
+        # A counter that others have moved meanwhile is a conflict, so that no id is given twice.
+        notes = {**base.notes, "location_id": top} if top > highest else None
+        return Change(after.withColumn(BUCKET, _bucket(house)), touched, touched, notes=notes, noted=lambda p: COUNTED)
 
     def with_days(base: Snapshot) -> Change | None:
         dates = house.stored("dim_date", at=base)
-        days = stage(new_dates(dates, valid.select(F.to_date(time_col).alias("date"))))
-        return None if days.isEmpty() else Change(get_or_create_date(dates, days), lambda p: True)
+        fresh = stage(new_dates(dates, days))
+        return None if fresh.isEmpty() else Change(get_or_create_date(dates, fresh), lambda p: True)
 
-    update(house.spark, house.path("dim_location"), with_places)
-    update(house.spark, house.path("dim_date"), with_days)
+    at = update(house.spark, house.path("dim_location"), with_places, [BUCKET])
+    known = house.stored("dim_location", touched, at).select("location_id", *COORDS).join(places, COORDS, "left_semi")
+    known = stage(known.select("location_id", *COORDS))
+    at = update(house.spark, house.path("dim_date"), with_days)
+    dated = house.stored("dim_date", at=at).select("date_id", "date").join(days, "date", "left_semi")
+    return known, stage(dated.select("date_id", "date"))
 
 
 def _replayed(house: Warehouse, table: str, kind: str, mark: Mark | None) -> DataFrame | None:
@@ -286,12 +332,11 @@ def load_current(
         flat = stage(flatten_current(landed))
         valid, rejects = route_rejects(flat)
         sink_batch(rejects, house.path("rejects_current"), batch_id)
-        _update_dims(house, valid, "observation_time", now, stage)
+        locations, dates = _update_dims(house, valid, "observation_time", now, stage)
         batch = resolve_keys(
-            valid, house.read("dim_location"), house.read("dim_date"), "observation_time",
-            [*CURRENT_METRICS, *CURRENT_ARRIVAL],
+            valid, locations, dates, "observation_time", [*CURRENT_METRICS, *CURRENT_ARRIVAL]
         ).withColumn("part_date", F.to_date("observation_time"))
-        days = days_of(valid.select(F.to_date("observation_time").alias("part_date")))
+        days = days_of(dates, "date")
         summary = load_summary(flat, now)
         summary = house.spark.createDataFrame([summary.first()], summary.schema)
 
@@ -328,17 +373,16 @@ def load_forecast(
         valid, rejects = route_rejects(flat)
         sink_batch(rejects, house.path("rejects_forecast"), batch_id)
         valid = valid.withColumn("run_id", F.coalesce("run_id", F.lit(PLAIN_RUN).cast("bigint")))
-        _update_dims(house, valid, "forecast_time", now, stage)
-        batch = stage(resolve_keys(
-            valid, house.read("dim_location"), house.read("dim_date"), "forecast_time",
-            [*FORECAST_METRICS, *HOURLY_ARRIVAL],
-        ).withColumn("part_date", F.to_date("forecast_time")))
+        locations, dates = _update_dims(house, valid, "forecast_time", now, stage)
+        # Joined anew wherever it is used, of few columns but for the merge: the wide rows are not copied for it.
+        batch = resolve_keys(
+            valid, locations, dates, "forecast_time", [*FORECAST_METRICS, *HOURLY_ARRIVAL]
+        ).withColumn("part_date", F.to_date("forecast_time"))
         places = stage(batch.select("location_id", "run_id").distinct())
         summary = None
 
         def summed(ignored: DataFrame, cleared: int) -> DataFrame:
-            known = house.read("dim_location").select("location_id", "latitude", "longitude")
-            older = ignored.join(known, "location_id").select(
+            older = ignored.join(locations, "location_id").select(
                 "latitude", "longitude", "run_id", F.lit(True).alias("ignored")
             )
             run = F.coalesce("run_id", F.lit(PLAIN_RUN).cast("bigint"))
@@ -355,7 +399,7 @@ def load_forecast(
 
         def added(base: Snapshot) -> Change:
             nonlocal summary
-            days = days_of(batch)
+            days = days_of(dates, "date")
             touched = lambda partition: partition["part_date"] in days
             merged = upsert_forecast(house.stored(table, touched, at=base), batch, now, stage=stage)
             summary = summed(places.limit(0), 0)
@@ -410,6 +454,9 @@ def delete_places(house: Warehouse, gone: DataFrame) -> None:
         gone = stage(gone.select("location_id").distinct())
         facts = [t for t, keys in FOREIGN_KEYS.items() if "location_id" in keys]
         for table in [*facts, "dim_location", *facts]:
+            if table == "dim_location":
+                update(house.spark, house.path(table), lambda base: _without_places(house, gone, base), [BUCKET])
+                continue
             columns = PARTITIONS.get(table, [])
 
             def without(base: Snapshot, table=table, columns=columns) -> Change | None:
@@ -425,6 +472,17 @@ def delete_places(house: Warehouse, gone: DataFrame) -> None:
             update(house.spark, house.path(table), without, columns, ["location_id", *time_col] if columns else [])
 
 
+def _without_places(house: Warehouse, gone: DataFrame, base: Snapshot) -> Change | None:
+    """The buckets that hold deleted places without them; their ids are not given again."""
+    rows, highest = house.stored("dim_location", at=base), _highest_place(house, base)
+    touched = _holding({row[0] for row in cascaded(rows, gone).select(_bucket(house)).distinct().collect()})
+    if not base.named(touched):
+        return None
+    left = cascade_delete(house.stored("dim_location", touched, at=base), gone).withColumn(BUCKET, _bucket(house))
+    notes = {**base.notes, "location_id": highest}
+    return Change(left, touched, lambda p: True, notes=notes, noted=lambda p: COUNTED)
+
+
 #: How a mart is built: from a fact, by day of its time.
 MARTS = {
     "weather_readings": (marts.weather_readings, "fact_current_weather", "observation_time_est"),
