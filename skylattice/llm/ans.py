@@ -18,7 +18,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,6 +192,16 @@ def _block_ids(table: Table, row: dict) -> np.ndarray:
     return table.decode(np.frombuffer(row["states"], U64), np.frombuffer(row["words"], np.uint32), row["n_tokens"])
 
 
+def _vocabulary(spark: SparkSession, tokenizer_path: str) -> int:
+    """How many ids a tokenizer has, as a task finds it: the driver need not hold the tokenizer."""
+
+    def run(batches):
+        for _ in batches:
+            yield pa.record_batch([pa.array([tokenizer(tokenizer_path).vocabulary])], names=["n"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(run, "n long").first()["n"]
+
+
 def pack(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, path: str | None = None) -> tuple[DataFrame, Table]:
     """Write the ids of ``documents`` (doc_id, text) as blocks under ``path``; (blocks, table) to read them by.
 
@@ -205,7 +215,7 @@ def pack(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, path:
         _tokenize(tokenizer_path, end_id), TOKENS
     ).write.option("compression", "zstd").parquet(tokens)
     tokens = spark.read.schema(TOKENS).parquet(tokens)
-    vocabulary = max(tokenizer(tokenizer_path).vocabulary, end_id + 1)
+    vocabulary = max(_vocabulary(spark, tokenizer_path), end_id + 1)
     width = np.uint16 if vocabulary <= 1 << 16 else np.uint32
     counts = tokens.select("ids").mapInArrow(_count(width), "id long, count long").groupBy("id").agg(F.sum("count"))
     table = Table({r[0]: r[1] for r in counts.collect()}, vocabulary)

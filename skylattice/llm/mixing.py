@@ -109,7 +109,12 @@ def deal(children: DataFrame, parent: list[str]) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, total_share: float = BUDGET_SHARE, weights: Mapping[str, Mapping[str, float]] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """(domain, lang, source, tokens, share): the budget of every leaf of ``leaves`` (domain, lang, source, tokens)."""
+    """(domain, lang, source, tokens, share): the budget of every leaf of ``leaves`` (domain, lang, source, tokens).
+
+    Each level is stored: planned as one, the levels are a query whose plan, told anew
+    after each of its stages, takes much of the driver's memory.
+    """
+    work = Workspace(leaves.sparkSession)
     nodes = leaves.withColumn("capacity", F.col("tokens").cast("double") * epochs)
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     above = None
@@ -117,7 +122,7 @@ def budgets(leaves: DataFrame, total_share: float = BUDGET_SHARE, weights: Mappi
         parent, names = list(LEVELS[:depth]), list(LEVELS[: depth + 1])
         children = nodes.groupBy(*names).agg(F.sum("capacity").alias("capacity")).withColumn("weight", weight_of(level, weights))
         children = children.withColumn("budget", F.lit(float(total) * total_share)) if above is None else children.join(above, parent)
-        above = deal(children, parent).select(*names, F.col("share").alias("budget"))
+        above = work.stage(deal(children, parent).select(*names, F.col("share").alias("budget")))
     return leaves.join(above.withColumnRenamed("budget", "share"), list(LEVELS))
 
 

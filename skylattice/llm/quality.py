@@ -210,6 +210,8 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlab
     if not {0, 1} <= set(quality.tolist()):
         return None
     both = np.stack([np.frombuffer(r.as_buffer(), np.float32) for r in rows.column("features")])
+    del rows  # the driver holds the sample once
+    pa.default_memory_pool().release_unused()
     reject, keep = (np.log(total[label] / (quality == label).sum()) for label in (0, 1))
     return Model([both[:, : SHAPES + 8], both[:, SHAPES + 8 :]], quality, float(keep - reject))
 
