@@ -14,8 +14,10 @@ far as it lies above the lower limit.
 All rows are scored against all anchors, in blocks of vectors that meet blocks of
 anchors by a join on ``part``, over which both are dealt; rows of the same label
 only where the label ranges of two blocks meet. A label that holds a third of all
-rows is many blocks. What a task holds is one block of each. Rows that leave a
-block pair are bounded by anchors, slots and k.
+rows is many blocks. What a task holds is one block of each. Anchors are dealt to
+every part, so there are no more parts than keep the cores busy or hold ``HELD``
+blocks each; copies never travel by broadcast, as the optimizer sees one of each.
+Rows that leave a block pair are bounded by anchors, slots and k.
 
 Rows without an id, a label or a vector, with an empty vector, or with null or
 non-finite components take no part. Only vectors of the same length are compared.
@@ -33,12 +35,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from skylattice.llm.vectors import best_first, dealt, finite, held, matrix, number, ordered, products, runs, whole
 from skylattice.llm.workspace import Workspace
 
 SCALE = 256
 ROWS, ANCHORS = 2048, 1024
+HELD, WAVES = 16, 4
 POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95
 
@@ -52,15 +56,15 @@ def _raw(column: pa.Array, kind) -> pa.Array:
     return pa.array([column.to_numpy(zero_copy_only=False).astype(kind).tobytes()], pa.binary())
 
 
-def _blocks(size: int, names: list[str], limits: bool):
-    """Rows sorted by length and label as blocks; the vectors stay the doubles that they are."""
+def _blocks(size: int, names: list[str], limits: bool, kind: str):
+    """Rows sorted by length and label as blocks; the vectors stay the floats or doubles that they are."""
     def run(batches):
         for rows in runs(batches, size, "dim"):
             label = rows.column("label").to_numpy()
             found = [
                 pa.array([rows.column("dim")[0].as_py()], pa.int32()), pa.array([label.min()]), pa.array([label.max()]),
                 _raw(rows.column("vec_id"), np.int64), _raw(rows.column("label"), np.int64),
-                pa.array([matrix(rows.column("v")).tobytes()], pa.binary()),
+                pa.array([matrix(rows.column("v")).astype(kind).tobytes()], pa.binary()),
             ]
             if limits:
                 found += [pa.array([rows.column(c).to_pylist()], t) for c, t in (
@@ -71,15 +75,16 @@ def _blocks(size: int, names: list[str], limits: bool):
     return run
 
 
-def _vectors(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, np.float64).reshape(n, -1)
+def _vectors(raw: bytes, n: int, kind: str) -> np.ndarray:
+    return np.frombuffer(raw, kind).reshape(n, -1).astype(np.float64)
 
 
-def _scored(row: dict) -> tuple[np.ndarray, ...]:
+def _scored(row: dict, kind: str) -> tuple[np.ndarray, ...]:
     """Anchor ids, ids in their order, scores, and which pairs have one label and which another."""
     anchors, ids = np.frombuffer(row["anchors"], np.int64), np.frombuffer(row["ids"], np.int64)
     order = np.argsort(ids, kind="stable")
-    scores = products(whole(_vectors(row["asked"], len(anchors)), SCALE), whole(_vectors(row["vectors"], len(ids))[order], SCALE))
+    asked, vectors = _vectors(row["asked"], len(anchors), kind), _vectors(row["vectors"], len(ids), kind)
+    scores = products(whole(asked, SCALE), whole(vectors[order], SCALE))
     ids = ids[order]
     same = np.frombuffer(row["anchor_labels"], np.int64)[:, None] == np.frombuffer(row["labels"], np.int64)[order]
     return anchors, ids, scores, same & (anchors[:, None] != ids), ~same & (anchors[:, None] != ids)
@@ -97,10 +102,10 @@ def _found(anchors: np.ndarray, slot: np.ndarray, ids: np.ndarray, scores: np.nd
     )
 
 
-def _positives(k: int):
+def _positives(k: int, kind: str):
     def run(batches):
         for row in _pairs(batches):
-            anchors, ids, scores, good, _ = _scored(row)
+            anchors, ids, scores, good, _ = _scored(row, kind)
             best = best_first(scores, good)[:, :k]
             which, place = np.nonzero(np.take_along_axis(good, best, axis=1))
             at = best[which, place]
@@ -109,18 +114,18 @@ def _positives(k: int):
     return run
 
 
-def _slots(k: int):
+def _slots(k: int, kind: str):
     """The best k of every slot of a block; slot s lies below the s-th highest limit and above the next."""
     def run(batches):
         for row in _pairs(batches):
-            anchors, ids, scores, _, good = _scored(row)
+            anchors, ids, scores, _, good = _scored(row, kind)
             depth = max(map(len, row["limits"]), default=0)
             if scores.dtype == object:
-                none, most, kind = -(1 << 2200), 1 << 2200, object
+                none, most, whole_kind = -(1 << 2200), 1 << 2200, object
             else:
-                none, most, kind = np.iinfo(np.int64).min, np.iinfo(np.int64).max, np.int64
-            floor = np.array([min(number(x), most) for x in row["lowest"]], kind)
-            limit = np.full((len(anchors), depth), none, kind)
+                none, most, whole_kind = np.iinfo(np.int64).min, np.iinfo(np.int64).max, np.int64
+            floor = np.array([min(number(x), most) for x in row["lowest"]], whole_kind)
+            limit = np.full((len(anchors), depth), none, whole_kind)
             for i, own in enumerate(row["limits"]):
                 limit[i, : len(own)] = [min(number(x), most) for x in own]
             slot = -np.ones(scores.shape, np.int32)
@@ -194,35 +199,41 @@ def mine(
     other labels with low * positive_score <= 100 * negative_score <= high * positive_score are returned.
     """
     spark = embeddings.sparkSession
-    work, parts = Workspace(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    work = Workspace(spark)
+    single = isinstance(embeddings.schema["embedding"].dataType.elementType, FloatType)
+    kind, held = ("<f4", "array<float>") if single else ("<f8", "array<double>")
     rows = embeddings.where(finite() & F.col("vec_id").isNotNull() & F.col("label").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-        F.size("embedding").alias("dim"), F.col("embedding").cast("array<double>").alias("v"),
+        F.size("embedding").alias("dim"), F.col("embedding").cast(held).alias("v"),
     )
     order = ["dim", "label", "vec_id"]
 
     def blocks(df: DataFrame, size: int, schema: str, limits: bool = False) -> DataFrame:
         names = [c.split()[0] for c in schema.split(", ")][: None if limits else 6]
         kept = schema if limits else schema.split(", limits")[0]
-        return df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(size, names, limits), kept)
+        return df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(size, names, limits, kind), kept)
 
-    stored = blocks(rows, ROWS, VECTORS)
-    stored = work.stage(stored.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")))
+    stored = work.stage(blocks(rows, ROWS, VECTORS))
+    busy = min(int(spark.conf.get("spark.sql.shuffle.partitions")), WAVES * spark.sparkContext.defaultParallelism)
+    parts = max(busy, -(-stored.count() // HELD))
+    stored = stored.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int"))
     asking = rows.where(anchors).groupBy("vec_id").agg(F.min(F.struct("label", "dim", "v")).alias("row"))
     asking = work.stage(asking.select("vec_id", "row.*"))
 
     def met(asked: DataFrame, condition: str) -> DataFrame:
-        both = dealt(asked.withColumnsRenamed({"least": "from", "most": "to"}), parts).join(stored, ["dim", "part"])
+        # Guessed by the size of one copy, the copies for all parts would be broadcast, through the driver.
+        copies = dealt(asked.withColumnsRenamed({"least": "from", "most": "to"}), parts).hint("merge")
+        both = copies.join(stored, ["dim", "part"])
         return both.where(condition).drop("dim", "part", "least", "most", "from", "to")
 
     pairs = met(blocks(asking, ANCHORS, ASKING), "`from` <= most and to >= least")
-    best = work.stage(_best(pairs.mapInArrow(_positives(positives), FOUND), positives).drop("slot"))
+    best = work.stage(_best(pairs.mapInArrow(_positives(positives, kind), FOUND), positives).drop("slot"))
 
     own = best.groupBy("anchor_id").agg(F.collect_list(F.struct("vec_id", "score")).alias("positives"))  # at most ``positives`` rows
     limits = own.select("anchor_id", F.col("positives.score").alias("scores")).mapInArrow(
         _limits(high, low), "anchor_id long, limits array<binary>, lowest binary")
     searching = asking.join(limits.where("size(limits) > 0").withColumnRenamed("anchor_id", "vec_id"), "vec_id")
     pairs = met(blocks(searching, ANCHORS, ASKING, limits=True), "`from` <> most or to <> least")
-    found = _best(pairs.mapInArrow(_slots(negatives), FOUND), negatives)
+    found = _best(pairs.mapInArrow(_slots(negatives, kind), FOUND), negatives)
     slots = found.groupBy("anchor_id").agg(F.collect_list(F.struct("slot", "vec_id", "score")).alias("found"))  # k a slot
     return own.join(slots, "anchor_id").mapInArrow(_merged(negatives, high, low), RESULT)
